@@ -8,8 +8,9 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 #: A word: a run of code points other than ASCII punctuation, space, control characters and upper case
 #: (texts are lower-cased in A-Z first).
@@ -42,6 +43,37 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_BASE = 0x100000001B3
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse, modulo 2 ** 64."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            p = np.full(2 * n, base, np.uint64)
+            p[0] = 1
+            _POWERS[k] = np.cumprod(p, dtype=np.uint64)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def prefix_hashes(b: np.ndarray) -> np.ndarray:
+    """Of bytes: s with (s[j] - s[i]) * inverse powers [i] the hash of b[i:j]."""
+    s = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers(len(b) + 1)[0][: len(b)], out=s[1:])
+    return s
+
+
+def doc_keys(doc_id: str, text_col: str) -> list[Column]:
+    """Two longs that stand for a document: the hashes of its id and whole text. Rows alike in both share them."""
+    return [F.xxhash64(doc_id, text_col).alias("r1"), F.xxhash64(F.lit(1), text_col, doc_id).alias("r2")]
+
+
+def extended(schema: StructType, **columns: str) -> StructType:
+    """A copy of the schema with further columns, as name=type."""
+    return StructType([*schema.fields, *(StructField(k, _parse_datatype_string(v)) for k, v in columns.items())])
+
+
 def binaries(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     """A string column as UTF-8 bytes."""
     return column.cast(pa.binary()).to_pylist()
@@ -88,9 +120,9 @@ BITMAP_BITS = 1 << 26
 
 def bitmap(keys: DataFrame, column: str) -> bytes:
     """A bitmap of BITMAP_BITS bits with the hashes in `column` (long) set; merged on the executors, 8 MB to the driver."""
-    slot = F.pmod(F.col(column), F.lit(BITMAP_BITS))
     words = (
-        keys.select(F.floor(slot / 64).cast("int").alias("w"), F.shiftleft(F.lit(1).cast("long"), (slot % 64).cast("int")).alias("b"))
+        keys.select(F.pmod(F.col(column), F.lit(BITMAP_BITS)).alias("slot"))
+        .selectExpr("cast(slot div 64 AS int) AS w", "shiftleft(1L, cast(slot % 64 AS int)) AS b")
         .groupBy("w")
         .agg(F.bit_or("b").alias("b"))
     )

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, binaries, checkpoint, mix64, table
+from .common import LOWER, binaries, checkpoint, extended, mix64, table
 
 MIN_DOCS = 10
 SHARD_KEYS = 100_000
@@ -178,7 +178,7 @@ def dedup_lines(
 
 def _probed(base: DataFrame, text_col: str, held, n_shards: int, *, last: bool) -> DataFrame:
     """Mark the lines found in the shards; in the last pass, drop the marked ones."""
-    schema = base.drop("_drop").schema.add("n_lines", "long").add("n_dropped", "long") if last else base.schema
+    schema = extended(base.drop("_drop").schema, n_lines="long", n_dropped="long") if last else base.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(n_shards, held.value)
