@@ -6,9 +6,10 @@ from .decontaminate import OP2_SQL, op2_decontaminate
 from .fuzzy_hash import op3_fuzzy_hash
 from .language_id import op4_language_id
 from .line_dedup import OP7_SQL, op7_line_dedup
+from .near_dedup import op10_near_dedup
 from .repeats import op9_repeats
 
-_QUERIES = [op2_decontaminate, op3_fuzzy_hash, op4_language_id, op7_line_dedup, op9_repeats]
+_QUERIES = [op2_decontaminate, op3_fuzzy_hash, op4_language_id, op7_line_dedup, op9_repeats, op10_near_dedup]
 _SQL = {"op2_decontaminate": OP2_SQL, "op7_line_dedup": OP7_SQL}
 
 
