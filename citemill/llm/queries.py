@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .decontaminate import OP2_SQL, op2_decontaminate
 from .fuzzy_hash import op3_fuzzy_hash
 from .language_id import op4_language_id
+from .license_scan import OP8_SQL, op8_license_scan
 from .line_dedup import OP7_SQL, op7_line_dedup
+from .mixing import OP6_SQL, op6_mixing
 from .near_dedup import op10_near_dedup
+from .pii import op1_pii
 from .repeats import op9_repeats
+from .url_filter import op5_url_filter
 
-_QUERIES = [op2_decontaminate, op3_fuzzy_hash, op4_language_id, op7_line_dedup, op9_repeats, op10_near_dedup]
-_SQL = {"op2_decontaminate": OP2_SQL, "op7_line_dedup": OP7_SQL}
+_QUERIES = [
+    op1_pii,
+    op2_decontaminate,
+    op3_fuzzy_hash,
+    op4_language_id,
+    op5_url_filter,
+    op6_mixing,
+    op7_line_dedup,
+    op8_license_scan,
+    op9_repeats,
+    op10_near_dedup,
+]
+_SQL = {"op2_decontaminate": OP2_SQL, "op6_mixing": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_license_scan": OP8_SQL}
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in _QUERIES}
+    return {f.__name__: f for f in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
