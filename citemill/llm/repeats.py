@@ -167,7 +167,7 @@ def _places(r1: int, r2: int, first: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(r1, r2, spans): of each document with some repeated string, packed (int32 start, end) pairs, not merged."""
+    """(r1, r2, spans): of each document with some repeated string, an array of (int32 start, end) pairs, not merged."""
     sc = docs.sparkSession.sparkContext
     keyed = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), *doc_keys(doc_id, text_col))
 
@@ -191,7 +191,7 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
     distinct = occ.groupBy("h", "k1", "k2").agg(F.count("*").alias("times"), F.min("place").alias("place"), F.first("n").alias("n"))
     shared = distinct.groupBy("h").agg(F.count("*").alias("kinds"))
     distinct = stored(distinct.join(shared.where("kinds > 1"), "h", "left").where("times > 1 OR kinds > 1"))
-    whole = distinct.where("times > 1").select("k1", "k2", F.concat(_int32(F.lit(0)), _int32(F.col("n"))).alias("spans"))
+    whole = distinct.where("times > 1").select("k1", "k2", F.lit(0).alias("lo"), F.col("n").alias("hi"))
     several = distinct.where("kinds > 1")
     wanted = sc.broadcast(bitmap(several.where(f"kinds <= {HOT_SEGMENTS}"), "place"))
 
@@ -209,7 +209,7 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
     texts = _each(keyed, copies(wanted), "h long, segment binary")
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     grouped = texts.repartition(int(parts), "h").sortWithinPartitions("h")
-    found = grouped.mapInArrow(_suffix_arrays, "k1 long, k2 long, spans binary")
+    found = grouped.mapInArrow(_suffix_arrays, "k1 long, k2 long, lo int, hi int")
 
     # 5. Minimizers that too many distinct segments share.
     covers = whole.unionByName(found)
@@ -217,11 +217,8 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
     if not hot.isEmpty():
         covers = covers.unionByName(_by_windows(keyed, sc.broadcast(bitmap(hot, "place")), bits))
 
-    return (
-        occ.join(covers, ["k1", "k2"])
-        .groupBy("r1", "r2")
-        .agg(F.collect_list(F.struct("start", "spans")).alias("spans"))
-    )
+    pair = F.concat(_int32(F.expr("start + lo")), _int32(F.expr("start + hi")))
+    return occ.join(covers, ["k1", "k2"]).groupBy("r1", "r2").agg(F.collect_list(pair).alias("spans"))
 
 
 def _int32(column):
@@ -231,12 +228,14 @@ def _int32(column):
 
 def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (h, segment), sorted by h, in blocks of whole groups."""
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("spans", pa.binary())])
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def solved(block: list[bytes]) -> pa.RecordBatch:
         keep = [(t, c) for t, c in zip(block, covered(block), strict=True) if len(c)]
-        k = _hash128([t for t, _ in keep])
-        return pa.RecordBatch.from_arrays([pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), pa.array([c.astype(">i4").tobytes() for _, c in keep], pa.binary())], schema=schema)
+        k = np.repeat(_hash128([t for t, _ in keep]), [len(c) for _, c in keep], axis=0)
+        spans = np.concatenate([c for _, c in keep]) if keep else np.zeros((0, 2), np.int64)
+        columns = [pa.array(x.copy(), t) for x, t in zip((k[:, 0], k[:, 1], spans[:, 0], spans[:, 1]), schema.types, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     block: list[bytes] = []
     group: dict[bytes, None] = {}
@@ -259,7 +258,7 @@ def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _by_windows(keyed: DataFrame, places, bits) -> DataFrame:
-    """(k1, k2, spans) of the distinct segments in `places`: their windows, counted by hash."""
+    """(k1, k2, lo, hi) of the distinct segments in `places`: their windows, counted by hash."""
 
     def emit(text, r1, r2, first, last, h):
         own = in_bitmap(np.frombuffer(bits.value, np.int64), h)
@@ -275,8 +274,7 @@ def _by_windows(keyed: DataFrame, places, bits) -> DataFrame:
 
     windows = stored(_each(keyed, emit, "w1 long, w2 long, k1 long, k2 long, at int"))
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
-    span = F.concat(_int32(F.col("at")), _int32(F.col("at") + LENGTH))
-    return windows.join(twice.select("w1", "w2"), ["w1", "w2"], "left_semi").select("k1", "k2", span.alias("spans")).distinct()
+    return windows.join(twice.select("w1", "w2"), ["w1", "w2"], "left_semi").selectExpr("k1", "k2", "at AS lo", f"at + {LENGTH} AS hi").distinct()
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -292,11 +290,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
             for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 n_bytes.append(len(text))
                 if spans:
-                    edge = np.zeros(len(text) + 1, np.int32)
-                    for x in spans:
-                        pairs = np.frombuffer(x["spans"], ">i4").reshape(-1, 2) + x["start"]
-                        np.add.at(edge, pairs[:, 0], 1)
-                        np.add.at(edge, pairs[:, 1], -1)
+                    pairs = np.frombuffer(b"".join(spans), ">i4").reshape(-1, 2)
+                    edge = np.bincount(pairs[:, 0], minlength=len(text) + 1) - np.bincount(pairs[:, 1], minlength=len(text) + 1)
                     inside = np.cumsum(edge[:-1]) > 0
                     cut = runs(inside)
                     n_removed.append(int(inside.sum()))
