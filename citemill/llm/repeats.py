@@ -29,7 +29,8 @@ LENGTH = 200
 GRAM = 32
 #: Windows of a text that are looked at together.
 CHUNK = 1 << 20
-HOT_SEGMENTS = 2000
+#: So many segments of at most 2 * LENGTH bytes fill a block of a few MB.
+HOT_SEGMENTS = 8192
 BLOCK_BYTES = 1 << 20
 
 
