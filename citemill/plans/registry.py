@@ -1,6 +1,309 @@
-"""Queries over the driver's tables and their SQL."""
+"""Queries over the driver's tables, and their SQL for DuckDB.
+
+Each entry is (name, relations, function of the relations, SQL). Names start with the operator they show.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import browse as B
+from ..operators import detect as D
+from ..operators import graph as G
+from ..operators import link as L
+from ..operators import views as V
+from .fixtures import SQL, relation, with_sql
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+#: Single-volume spellings that the detectors look for.
+SINGLE_VOL = ["Kelly", "Geo."]
+_GO_CHAR = r"[\p{L}\s\.,&\(\)]"
+_GO_ED = r"((1st|2nd|3rd|\dth)\sed.)??"
+RE_GENERIC = rf"\d{{1,3}}\s+{_GO_CHAR}{{3,16}}{_GO_ED}\s+\d{{1,4}}"
+_GO_UNIT = rf"(?:{_GO_CHAR}|\p{{L}}\d\p{{L}})"
+RE_OCR = rf"\d{{1,3}}\s+{_GO_UNIT}{{0,15}}\p{{L}}\d\p{{L}}{_GO_UNIT}{{0,15}}{_GO_ED}\s+\d{{1,4}}"
+
+#: Further relations for DuckDB alone.
+DUCK = {
+    "pages": "SELECT CAST(id AS STRING) AS id, string_agg(p, '; ' ORDER BY ln, p) AS text FROM {pieces} GROUP BY id",
+    "w0": "SELECT id, text, unnest(range(1, length(text) + 1)) AS i FROM {pages}",
+    "w1": "SELECT id, i, substr(text, i, 25) AS w, substr(text, i, 4) AS h, CASE WHEN i = 1 THEN '' ELSE substr(text, i - 1, 1) END AS pv FROM {w0} WHERE substr(text, i, 1) BETWEEN '0' AND '9'",
+    "w2": r"SELECT id, i, w FROM {w1} WHERE (NOT regexp_matches(pv, '[0-9]') AND regexp_matches(h, '^[0-9]{1,2}\s')) OR regexp_matches(h, '^[0-9]{3}\s')",
+    "windows": "SELECT id, i, CASE WHEN strlen(w) <= 25 THEN w ELSE left(w, list_max(list_filter(range(1, 26), lambda k: strlen(left(w, k)) <= 25))) END AS w FROM {w2}",
+    "m0": f"SELECT id, i, 0 AS d, regexp_extract(w, '{RE_GENERIC}', 0) AS raw FROM {{windows}} UNION ALL SELECT id, i, 1, regexp_extract(w, '{RE_OCR}', 0) FROM {{windows}}",
+    "matches": "SELECT * FROM {m0} WHERE raw <> '' AND NOT contains(raw, ' v. ') AND NOT contains(raw, 'Ex parte')",
+    "fields": r"""SELECT id, i, d, raw, CAST(regexp_extract(c, '^\d+', 0) AS INT) AS volume, CAST(regexp_extract(c, '\d+$', 0) AS INT) AS page,
+        rtrim(trim(regexp_replace(regexp_replace(c, '\d+$', ''), '^\d+', '')), ' ,') AS reporter_abbr FROM (SELECT *, regexp_replace(raw, '\s+', ' ', 'g') AS c FROM {matches}) AS x""",
+    "single": r"""SELECT id, d, unnest(range(1, len(raws) + 1)) AS i, unnest(raws) AS raw FROM (SELECT id, d, regexp_extract_all(text, '\b' || a || '\w*[.,]*\s+\d{1,4}') AS raws FROM {pages}, (VALUES ('Kelly', 2), ('Geo\.', 3)) AS v(a, d)) AS x""",
+    "detected": r"""SELECT id AS moml_treatise, '1' AS moml_page, volume, reporter_abbr, page, arg_min(raw, (d, i)) AS raw FROM (SELECT id, i, d, raw, volume, page, reporter_abbr FROM {fields}
+        UNION ALL SELECT id, i, d, raw, NULL, CAST(regexp_extract(raw, '\d+$', 0) AS INT), rtrim(trim(regexp_replace(regexp_replace(raw, '\s+', ' ', 'g'), '\d+$', '')), ' ,') FROM {single}) AS x GROUP BY ALL""",
+    "cite_to_cap": """SELECT cite, min(cap_case_id) AS cap_case_id FROM (SELECT r.cite, cc.cap_case_id FROM (SELECT cite, cluster_id FROM {freelaw_citations} WHERE type NOT IN ('lexis', 'west', 'journal')) r
+        JOIN (SELECT cluster_id, cap_case_id FROM {clusters_to_cap} WHERE cap_case_id IS NOT NULL UNION SELECT r.cluster_id, c.case_id FROM (SELECT cite, cluster_id FROM {freelaw_citations} WHERE type NOT IN ('lexis', 'west', 'journal')) r
+            JOIN {cap_citations} c ON c.cite = r.cite WHERE NOT EXISTS (SELECT 1 FROM {clusters_to_cap} a WHERE a.cluster_id = r.cluster_id AND a.cap_case_id IS NOT NULL)) cc USING (cluster_id)) AS x
+        GROUP BY cite HAVING count(DISTINCT cap_case_id) = 1""",
+    "code_cites": r"""SELECT cite, min(id) AS id FROM (SELECT trim(regexp_replace(trim(c), ' \([0-9]{4}\)$', '')) AS cite, id FROM (SELECT official_citation AS c, id FROM {code_reporter}
+        UNION ALL SELECT unnest(split(parallel_citation, ';')), id FROM {code_reporter} WHERE parallel_citation IS NOT NULL) AS y) AS x WHERE cite <> '' GROUP BY cite HAVING count(DISTINCT id) = 1""",
+    "er_cites": "SELECT cite, min(id) AS id FROM (SELECT er_cite AS cite, id FROM {english_reports} UNION ALL SELECT er_parallel_cite, id FROM {english_reports} WHERE er_parallel_cite IS NOT NULL) AS x GROUP BY cite",
+    "cap_cites": "SELECT cite, min(case_id) AS case_id FROM {cap_citations} GROUP BY cite HAVING count(DISTINCT case_id) = 1",
+    "lookup": """SELECT 'cap' AS source, cite, CAST(case_id AS STRING) AS ref FROM {cap_cites} UNION ALL SELECT 'freelaw', cite, CAST(cap_case_id AS STRING) FROM {cite_to_cap}
+        UNION ALL SELECT 'code', cite, CAST(id AS STRING) FROM {code_cites} UNION ALL SELECT 'er', cite, id FROM {er_cites}""",
+    "entries": """SELECT w.*, coalesce(r.jurisdiction LIKE 'uk%', false) AS uk, coalesce(r.single_vol, false) AS single_vol, r.reporter_cap,
+        EXISTS (SELECT 1 FROM {reporters_diffvols} d WHERE d.reporter_standard = w.reporter_standard) AS cap_different FROM {whitelist} w LEFT JOIN {reporters} r USING (reporter_standard)""",
+    "some_unlinked": "SELECT * FROM {citations_unlinked} WHERE left(id, 1) <> '0'",
+    "gated": "SELECT c.id, c.volume AS dv, c.page AS pg, e.* FROM {some_unlinked} c LEFT JOIN {entries} e ON e.reporter_found = c.reporter_abbr",
+    "forms": """SELECT *, 0 AS form, dv AS v FROM {gated} WHERE junk = false
+        UNION ALL SELECT *, 1, CASE WHEN dv IS NULL THEN 1 END FROM {gated} WHERE junk = false AND single_vol AND (dv IS NULL OR dv = 1)""",
+    "cites": """SELECT f.*, d.cap_vol, concat_ws(' ', f.v, f.reporter_standard, f.pg) AS cleaned,
+        CASE WHEN uk THEN concat_ws(' ', f.v, f.reporter_standard, f.pg) WHEN cap_different AND d.cap_vol IS NOT NULL THEN concat_ws(' ', d.cap_vol, d.cap_reporter, f.pg)
+             ELSE concat_ws(' ', f.v, coalesce(reporter_cap, f.reporter_standard), f.pg) END AS normalized
+        FROM {forms} f LEFT JOIN {reporters_diffvols} d ON d.reporter_standard = f.reporter_standard AND d.vol = f.v""",
+    "alts": "SELECT reporter_standard, alt_abbr, row_number() OVER (PARTITION BY reporter_standard ORDER BY alt_abbr) AS alt FROM {reporters_abbreviations}",
+    "probes": """SELECT id, uk, form, s.step, s.source, 0 AS alt, CASE WHEN s.step = 5 THEN cleaned ELSE normalized END AS cite FROM {cites} JOIN (VALUES (1, 'cap'), (2, 'freelaw'), (5, 'code')) AS s(step, source) ON NOT uk
+        UNION ALL SELECT id, uk, form, 7, 'er', 0, cleaned FROM {cites} WHERE uk
+        UNION ALL SELECT id, uk, form, s.step, s.source, a.alt, concat_ws(' ', c.v, a.alt_abbr, c.pg) FROM {cites} c JOIN {alts} a USING (reporter_standard) JOIN (VALUES (3, 'cap'), (4, 'freelaw'), (6, 'code')) AS s(step, source) ON NOT uk""",
+    "keys": r"""SELECT DISTINCT source = 'er' AS uk, regexp_extract(h, '^([0-9]+) (.*)$', 1, 's') AS kv, CASE WHEN regexp_matches(h, '^[0-9]+ .*$', 's') THEN regexp_extract(h, '^([0-9]+) (.*)$', 2, 's') ELSE h END AS kr
+        FROM (SELECT source, regexp_extract(cite, '^(.+) ([0-9]+)$', 1, 's') AS h FROM {lookup}) AS x WHERE h <> ''""",
+    "reached": r"""SELECT id, bool_or(EXISTS (SELECT 1 FROM {keys} k WHERE k.uk = p.uk AND k.kr = p.kr)) AS rep, bool_or(EXISTS (SELECT 1 FROM {keys} k WHERE k.uk = p.uk AND k.kr = p.kr AND k.kv = p.kv)) AS vol
+        FROM (SELECT id, uk, regexp_extract(h, '^([0-9]+) (.*)$', 1, 's') AS kv, CASE WHEN regexp_matches(h, '^[0-9]+ .*$', 's') THEN regexp_extract(h, '^([0-9]+) (.*)$', 2, 's') ELSE h END AS kr
+            FROM (SELECT DISTINCT id, uk, regexp_extract(cite, '^(.+) ([0-9]+)$', 1, 's') AS h FROM {probes}) AS y) AS p GROUP BY id""",
+    "hits": "SELECT p.id, arg_min(struct_pack(step := p.step, cite := p.cite, ref := l.ref), (form, p.step, alt)) AS h FROM {probes} p JOIN {lookup} l USING (source, cite) GROUP BY p.id",
+    "citation_links": """SELECT g.id AS citation_id,
+        CASE WHEN reporter_found IS NULL THEN 'skipped_not_whitelisted' WHEN junk THEN 'skipped_junk' WHEN h IS NULL THEN 'no_match' WHEN h.step <= 4 THEN 'linked_cap' WHEN h.step <= 6 THEN 'linked_code_reporter' ELSE 'linked_english_reports' END AS status,
+        CASE WHEN reporter_found IS NULL OR junk THEN NULL WHEN h IS NOT NULL THEN ['cap_direct', 'cap_freelaw', 'cap_alt_spelling', 'cap_freelaw_alt_spelling', 'code_direct', 'code_alt_spelling', 'er_direct'][h.step]
+             WHEN NOT rep THEN CASE WHEN uk THEN 'uk' ELSE 'us' END || '_reporter_absent'
+             WHEN NOT uk AND cap_different AND dv IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {reporters_diffvols} d WHERE d.reporter_standard = g.reporter_standard AND d.vol = dv) THEN 'us_diffvols_missing'
+             WHEN NOT vol THEN CASE WHEN uk THEN 'uk' ELSE 'us' END || '_volume_absent' ELSE CASE WHEN uk THEN 'uk' ELSE 'us' END || '_page_absent' END AS match_tier,
+        CASE WHEN h.step <= 4 THEN CAST(h.ref AS BIGINT) END AS cap_case_id, CASE WHEN h.step IN (5, 6) THEN CAST(h.ref AS BIGINT) END AS code_reporter_id, CASE WHEN h.step = 7 THEN h.ref END AS er_case_id,
+        c.cleaned AS cite_cleaned, c.normalized AS cite_normalized, h.cite AS cite_linked
+        FROM {gated} g LEFT JOIN {hits} hh ON hh.id = g.id LEFT JOIN {reached} q ON q.id = g.id LEFT JOIN (SELECT id, cleaned, normalized FROM {cites} WHERE form = 0) c ON c.id = g.id""",
+    "lj": "SELECT * FROM {citations_unlinked} u LEFT JOIN {citation_links} l ON l.citation_id = u.id",
+    "ij": "SELECT * FROM {citations_unlinked} u JOIN {citation_links} l ON l.citation_id = u.id",
+    "cap_abbrs": r"""SELECT a AS abbreviation, count(*) AS n FROM (SELECT coalesce(nullif(regexp_extract(cite, '^[0-9]+\s+(.+?)\s+[0-9]+[A-Za-z-]*$', 1), ''), nullif(regexp_extract(cite, '^(.+?)\s+[0-9]+[A-Za-z-]*$', 1), ''), nullif(regexp_extract(cite, '^[0-9]{4}-(.+?)-[0-9]+$', 1), '')) AS a
+        FROM {cap_citations} c JOIN {cap_cases} s ON s.id = c.case_id WHERE cite NOT LIKE '%;%' AND decision_year <= 1925) AS x WHERE regexp_matches(a, '^[A-Za-z]') GROUP BY a HAVING count(*) > 1""",
+    "abbrs": "SELECT abbreviation, jurisdiction, jurisdiction LIKE 'uk%' AS uk FROM (SELECT reporter_standard AS abbreviation, jurisdiction FROM {reporters} UNION SELECT alt_abbr, jurisdiction FROM {reporters_abbreviations} JOIN {reporters} USING (reporter_standard)) AS x",
+    "treatises": """SELECT bibliographicid, min(year) AS year, min(displaytitle) AS title, CASE WHEN max(CAST(currentvolume AS INT)) = 0 THEN 1 ELSE max(CAST(currentvolume AS INT)) END AS vols,
+        coalesce(list_sort(list(DISTINCT subject) FILTER (WHERE subject IS NOT NULL)), []) AS subjects, bool_or(subject IS NULL) AS has_null_subject, list_sort(list(DISTINCT psmid)) AS psmid
+        FROM {book_info} LEFT JOIN {book_citation} USING (psmid) LEFT JOIN {book_subject} USING (psmid) GROUP BY bibliographicid""",
+    "us_treatises": r"SELECT * FROM {treatises} WHERE NOT has_null_subject AND NOT list_has_any(subjects, ['UK', 'Biography', 'Collected Essays', 'Trials']) AND NOT regexp_matches(title, '\Woration\W|\Wremarks of\W|\Waddress\W', 'i')",
+    "case_counts": """SELECT 'cap' AS source, CAST(cap_case_id AS STRING) AS case_id, count(DISTINCT (moml_treatise, moml_page)) AS page_count, count(*) AS cite_count FROM {ij} WHERE status = 'linked_cap' GROUP BY ALL
+        UNION ALL SELECT 'er', er_case_id, count(DISTINCT (moml_treatise, moml_page)), count(*) FROM {ij} WHERE status = 'linked_english_reports' GROUP BY ALL
+        UNION ALL SELECT 'code', CAST(code_reporter_id AS STRING), count(DISTINCT (moml_treatise, moml_page)), count(*) FROM {ij} WHERE status = 'linked_code_reporter' GROUP BY ALL""",
+    "unmatched_top": "SELECT volume, w.reporter_standard, page, count(*) AS n FROM {lj} JOIN {whitelist} w ON w.reporter_found = reporter_abbr AND NOT w.junk WHERE citation_id IS NULL OR status = 'no_match' GROUP BY ALL HAVING count(*) >= 5",
+    "by_reporter": """SELECT w.reporter_standard, count(*) FILTER (WHERE status LIKE 'linked%') AS linked, count(*) FILTER (WHERE status = 'no_match') AS no_match, count(*) FILTER (WHERE status IS NULL) AS unprocessed,
+        coalesce(bool_or(jurisdiction LIKE 'uk:%'), false) AS uk FROM {lj} JOIN {whitelist} w ON w.reporter_found = reporter_abbr JOIN {reporters} r ON r.reporter_standard = w.reporter_standard WHERE NOT w.junk GROUP BY ALL""",
+    "summary": "SELECT 'total_raw_cites' AS metric, count(*) AS n FROM {citations_unlinked} UNION ALL SELECT status, count(*) FROM {citation_links} GROUP BY status",
+    "tiers": "SELECT w.reporter_standard, status, match_tier, count(*) AS n FROM {lj} JOIN {whitelist} w ON w.reporter_found = reporter_abbr WHERE NOT w.junk GROUP BY ALL",
+    "normalized_counts": "SELECT cite_normalized, count(*) AS cite_count, count(*) FILTER (WHERE status LIKE 'linked_%') AS linked_count, count(DISTINCT (moml_treatise, moml_page)) AS page_count FROM {ij} WHERE cite_normalized IS NOT NULL GROUP BY ALL",
+    "treatise_counts": "SELECT moml_treatise, count(*) AS n, count(*) FILTER (WHERE status LIKE 'linked_%') AS linked, count(*) FILTER (WHERE status IS NULL OR status NOT LIKE 'linked_%') AS not_linked FROM {lj} GROUP BY ALL",
+    "wc": "SELECT DISTINCT bibliographicid AS work, cap_case_id FROM {ij} JOIN {book_info} ON psmid = moml_treatise WHERE status = 'linked_cap'",
+    "e2": """SELECT e.cites_from AS from_id, f.cites AS from_case_name, f.jurisdiction_name AS from_jurisdiction, f.jurisdiction_id AS from_jurisdiction_id, f.decision_year AS from_year, f.court_name_abbreviation AS from_court, f.court_id AS from_court_id,
+        e.cites_to AS to_id, t.cites AS to_case_name, t.jurisdiction_name AS to_jurisdiction, t.jurisdiction_id AS to_jurisdiction_id, t.decision_year AS to_year, t.court_name_abbreviation AS to_court, t.court_id AS to_court_id
+        FROM {edges} e LEFT JOIN {metadata} f ON f.id = e.cites_from LEFT JOIN {metadata} t ON t.id = e.cites_to""",
+}
+
+
+def _spark_relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A relation, or what the operators make of relations."""
+    get = lambda n: _spark_relation(spark, sf_dir, n)
+    if name == "pages":
+        parts = relation(spark, sf_dir, "pieces").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("ln", "p"))).alias("ps"))
+        return parts.select(F.col("id").cast("string").alias("id"), F.array_join(F.col("ps.p"), "; ").alias("text"))
+    if name == "cite_to_cap":
+        return V.freelaw_to_cap(get("freelaw_citations"), get("clusters_to_cap"), get("cap_citations"))
+    if name == "entries":
+        return L.whitelist_entries(get("whitelist"), get("reporters"), get("reporters_diffvols"))
+    if name == "lookup":
+        return L.lookup(get("cap_citations"), get("cite_to_cap"), get("code_reporter"), get("english_reports"))
+    if name == "citation_links":
+        some = get("citations_unlinked").where("left(id, 1) <> '0'")
+        return L.link(some, get("entries"), get("reporters_diffvols"), L.spellings(get("reporters_abbreviations")), get("lookup"))
+    if name == "cap_abbrs":
+        return V.reporter_abbreviations(get("cap_citations"), get("cap_cases"))
+    if name == "abbrs":
+        return V.all_abbreviations(get("reporters"), get("reporters_abbreviations"))
+    if name == "treatises":
+        return V.treatises(get("book_info"), get("book_citation"), get("book_subject"))
+    if name == "us_treatises":
+        return V.us_treatises(get("treatises"))
+    if name == "case_counts":
+        return V.case_citation_counts(get("citation_links"), get("citations_unlinked"))
+    if name == "unmatched_top":
+        return V.citations_unmatched_top(get("citation_links"), get("citations_unlinked"), get("whitelist"))
+    if name == "normalized_counts":
+        return V.normalized_citation_counts(get("citation_links"), get("citations_unlinked"))
+    if name == "treatise_counts":
+        return V.treatise_citation_counts(get("citation_links"), get("citations_unlinked"))
+    if name == "e2":
+        return V.edges_with_metadata(get("edges"), get("metadata"))
+    return relation(spark, sf_dir, name)
+
+
+def query(name: str, needs: str, build: Callable[..., DataFrame], sql: str | None = None) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(*[_spark_relation(spark, sf_dir, n) for n in needs.split()])
+
+    run.__name__ = name
+    QUERIES[name] = run
+    if sql:
+        ORACLES[name] = with_sql(sql, DUCK)
+
+
+_LU = "citation_links citations_unlinked"
+
+
+def _detect(pages: DataFrame) -> DataFrame:
+    return D.detect(pages.withColumn("p", F.lit("1")), SINGLE_VOL, treatise="id", page_id="p", text="text")
+
+
+# Detection
+query("D1_ocr_correction", "pages", lambda p: p.select("id", T.correct_ocr(F.col("text"), [("Ma1", "Mas"), ("Mass", "MASS"), (" see ", " vide ")]).alias("text")), "SELECT id, replace(replace(replace(text, 'Ma1', 'Mas'), 'Mass', 'MASS'), ' see ', ' vide ') AS text FROM {pages}")
+query("D2_windows", "pages", lambda p: D.windows(p, "text").select("id", "w"), "SELECT id, w FROM {windows}")
+for _n, _d, _p in (("D3_generic", 0, D.GENERIC), ("D4_ocr_digit", 1, D.OCR_DIGIT)):
+    query(_n, "pages", lambda p, d=_d, x=_p: D.with_fields(D.windowed(D.windows(p, "text"), x, d)).select("id", "raw", "volume", "reporter_abbr", "page"), f"SELECT id, raw, volume, reporter_abbr, page FROM {{fields}} WHERE d = {_d}")
+query("D5_single_volume", "pages", lambda p: D.single_volume(p, SINGLE_VOL, "text").select("id", "raw"), "SELECT id, raw FROM {single} WHERE NOT contains(raw, ' v. ')")
+query("D6_single_volume_abbrs", "reporters reporters_abbreviations", D.single_volume_abbrs, "SELECT reporter_standard, reporter_standard AS abbreviation FROM {reporters} WHERE single_vol UNION SELECT reporter_standard, alt_abbr FROM {reporters_abbreviations} JOIN {reporters} USING (reporter_standard) WHERE single_vol")
+query("D9_clean_reporter", "pages", lambda p: p.select("id", T.clean_reporter(F.col("text")).alias("text")), r"SELECT id, regexp_replace(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '\.+\s', '. ', 'g'), '\.+', '.', 'g') AS text FROM {pages}")
+query("D10_clean_cite", "citations_unlinked", lambda c: D.rendered(c).select("id", "cite"), "SELECT id, concat_ws(' ', volume, reporter_abbr, page) AS cite FROM {citations_unlinked}")
+query("D11_detect", "pages", lambda p: _detect(p).drop("id"), "SELECT * FROM {detected}")
+query("D13_interior_digits", "pages", lambda p: p.select("id", T.strip_interior_digits(F.col("text")).alias("text")), r"SELECT id, regexp_replace(regexp_replace(text, '(\p{L})\d(\p{L})', '\1\2', 'g'), '(\p{L})\d(\p{L})', '\1\2', 'g') AS text FROM {pages}")
+query("D14_yield", "pages whitelist", lambda p, w: D.yield_report(_detect(p), D.detect(p.withColumn("p", F.lit("1")).where("false"), treatise="id", page_id="p", text="text"), w, 1000), "SELECT reporter_abbr, CASE WHEN reporter_found IS NULL THEN 'absent' WHEN junk THEN 'junk' ELSE 'linkable' END AS kind, count(*) AS n FROM {detected} LEFT JOIN {whitelist} ON reporter_found = reporter_abbr GROUP BY ALL ORDER BY n DESC, reporter_abbr LIMIT 1000")
+query("D15_whitelist_suggestions", "pages whitelist", lambda p, w: _suggest(_detect(p), w), r"""SELECT d.reporter_abbr, d.stripped, d.n, w.reporter_standard, CASE WHEN w.reporter_found IS NULL THEN 'unresolved' WHEN w.junk THEN 'junk' WHEN w.reporter_found = w.reporter_standard THEN 'canonical' ELSE 'variant' END AS kind
+    FROM (SELECT reporter_abbr, regexp_replace(regexp_replace(reporter_abbr, '(\p{L})\d(\p{L})', '\1\2', 'g'), '(\p{L})\d(\p{L})', '\1\2', 'g') AS stripped, count(*) AS n FROM {detected} GROUP BY ALL) AS d LEFT JOIN {whitelist} w ON w.reporter_found = d.stripped WHERE d.stripped <> d.reporter_abbr""")
+
+
+def _suggest(found: DataFrame, whitelist: DataFrame) -> DataFrame:
+    """Spellings with a digit inside, without it, and what the whitelist has of that."""
+    by = found.groupBy("reporter_abbr").agg(V.n()).withColumn("stripped", T.strip_interior_digits(F.col("reporter_abbr"))).where("stripped <> reporter_abbr")
+    kind = F.when(F.col("reporter_found").isNull(), "unresolved").when(F.col("junk"), "junk").when(F.col("reporter_found") == F.col("reporter_standard"), "canonical").otherwise("variant")
+    return by.join(whitelist, by.stripped == whitelist.reporter_found, "left").select("reporter_abbr", "stripped", "n", "reporter_standard", kind.alias("kind"))
+
+
+# Linking
+query("L1_whitelist", "entries", lambda e: e, "SELECT reporter_found, reporter_standard, junk, uk, single_vol, cap_different, reporter_cap FROM {entries}")
+query("L2_diffvols", "reporters_diffvols", L.diffvol_map, "SELECT reporter_standard, vol AS volume, cap_vol, cap_reporter FROM {reporters_diffvols}")
+query("L3_cap_cites", "cap_citations", lambda c: L.unambiguous(c.select("cite", "case_id"), "case_id"), "SELECT * FROM {cap_cites}")
+query("L5_spellings", "reporters_abbreviations", lambda a: L.spellings(a).select("reporter_standard", F.array_join("alts", ",").alias("alts")), "SELECT reporter_standard, string_agg(alt_abbr, ',' ORDER BY alt_abbr) AS alts FROM {reporters_abbreviations} GROUP BY 1")
+query("L6_code_cites", "code_reporter", L.code_cites, "SELECT * FROM {code_cites}")
+query("L7_english_cites", "english_reports", L.english_cites, "SELECT * FROM {er_cites}")
+query("L8_unprocessed", "citations_unlinked citation_links", lambda u, k: L.unprocessed(u, k).select("id"), "SELECT id FROM {citations_unlinked} WHERE left(id, 1) = '0'")
+query("L15_link", "citation_links", lambda k: k, "SELECT * FROM {citation_links}")
+query("L18_split_cite", "lookup", lambda k: k.select("cite", T.cite_volume(F.col("cite")).alias("volume"), T.cite_reporter(F.col("cite")).alias("reporter")), r"""SELECT cite, CASE WHEN h <> '' THEN regexp_extract(h, '^([0-9]+) (.*)$', 1) END AS volume, CASE WHEN h = '' THEN NULL WHEN regexp_matches(h, '^[0-9]+ .*$') THEN regexp_extract(h, '^([0-9]+) (.*)$', 2) ELSE h END AS reporter
+    FROM (SELECT cite, regexp_extract(cite, '^(.+) ([0-9]+)$', 1) AS h FROM {lookup}) AS x""")
+
+# Views
+query("Q1_reporter_abbreviations", "cap_abbrs", lambda a: a, "SELECT * FROM {cap_abbrs}")
+query("Q2_cap_to_cap", "e2", lambda e: e, "SELECT * FROM {e2}")
+query("Q3_cite_to_cap", "cite_to_cap", lambda c: c, "SELECT * FROM {cite_to_cap}")
+query("Q4_all_abbreviations", "abbrs", lambda a: a, "SELECT * FROM {abbrs}")
+query("Q5_cap_only", "cap_abbrs abbrs", V.cap_only_abbreviations, "SELECT * FROM {cap_abbrs} WHERE abbreviation NOT IN (SELECT abbreviation FROM {abbrs} WHERE NOT uk)")
+query("Q6_own_only", "abbrs cap_abbrs", V.own_only_abbreviations, "SELECT abbreviation FROM {abbrs} WHERE NOT uk EXCEPT SELECT abbreviation FROM {cap_abbrs}")
+query("Q7_all_page_id", "page_ocrtext", lambda p: p.select("psmid", "pageid"), "SELECT psmid, pageid FROM {page_ocrtext}")
+query("Q8_top_reporters", "citations_unlinked", V.top_reporters, "SELECT reporter_abbr, count(*) AS n FROM {citations_unlinked} GROUP BY 1")
+_flat = lambda t: t.withColumns({c: F.array_join(c, ",") for c in ("subjects", "psmid")})
+query("Q9_treatises", "treatises", _flat, "SELECT * REPLACE (array_to_string(subjects, ',') AS subjects, array_to_string(psmid, ',') AS psmid) FROM {treatises}")
+query("Q10_us_treatises", "us_treatises", _flat, "SELECT * EXCLUDE has_null_subject REPLACE (array_to_string(subjects, ',') AS subjects, array_to_string(psmid, ',') AS psmid) FROM {us_treatises}")
+query("Q11_case_citation_counts", "case_counts", lambda c: c, "SELECT * FROM {case_counts}")
+query("Q12_links_detail", f"{_LU} cap_cases code_reporter english_reports", V.citation_links_detail, """SELECT citation_id, status, raw AS cite_raw, cite_cleaned, cite_normalized, cite_linked, coalesce(c.name, k.name, e.er_name) AS case_name, cap_case_id, code_reporter_id, er_case_id
+    FROM {ij} AS x LEFT JOIN {cap_cases} c ON c.id = cap_case_id LEFT JOIN {code_reporter} k ON k.id = code_reporter_id LEFT JOIN {english_reports} e ON e.id = er_case_id""")
+query("Q13_links_status", _LU, V.citation_links_status, "SELECT status, count(*) AS n FROM {citation_links} GROUP BY 1 UNION ALL SELECT 'unprocessed', (SELECT count(*) FROM {citations_unlinked}) - (SELECT count(*) FROM {citation_links})")
+query("Q14_unmatched_top", "unmatched_top", lambda t: t, "SELECT * FROM {unmatched_top}")
+query("Q15_dashboard_reporters", f"{_LU} whitelist reporters", V.dashboard_reporters, "SELECT * FROM {by_reporter}")
+query("Q16_linking_dashboard_summary", _LU, V.dashboard_summary, "SELECT * FROM {summary}")
+query("Q17_dashboard_tiers", f"{_LU} whitelist", V.dashboard_tiers, "SELECT * FROM {tiers}")
+query("Q18_tier_summary", f"{_LU} whitelist", lambda k, u, w: V.tier_summary(V.dashboard_tiers(k, u, w)), "SELECT coalesce(t.status, 'unprocessed') AS status, match_tier, CAST(sum(n) AS BIGINT) AS n, round(100.0 * sum(n) / sum(sum(n)) OVER (PARTITION BY t.status), 2)::DOUBLE AS pct_of_status FROM {tiers} AS t GROUP BY t.status, match_tier")
+query("Q19_normalized_counts", "normalized_counts", lambda c: c, "SELECT * FROM {normalized_counts}")
+query("Q20_treatise_counts", "treatise_counts", lambda c: c, "SELECT * FROM {treatise_counts}")
+query("Q21_schools_to_textbooks", "textbooks_works textbooks_vols", V.schools_to_textbooks, "SELECT DISTINCT v.school, w.workid, w.title FROM (SELECT workid, work_title AS title, unnest(moml_webids) AS webid FROM {textbooks_works}) AS w LEFT JOIN {textbooks_vols} v ON v.webid = w.webid")
+query("Q22_single_volume_abbr", "reporters reporters_abbreviations", V.single_volume_abbreviations, "SELECT alt_abbr, reporter_title FROM {reporters} LEFT JOIN {reporters_abbreviations} USING (reporter_standard) WHERE single_vol")
+query("Q23_table_row_counts", "reporters page cap_citations", lambda a, b, c: V.table_row_counts({"reporters": a, "page": b, "cap_citations": c}), "SELECT 'reporters' AS table_name, count(*) AS row_count FROM {reporters} UNION ALL SELECT 'page', count(*) FROM {page} UNION ALL SELECT 'cap_citations', count(*) FROM {cap_citations}")
+query("Q24_coupled_treatises", f"{_LU} book_info", V.coupled_treatises, "SELECT a.work, b.work AS other, count(*) AS n FROM {wc} a JOIN {wc} b ON a.cap_case_id = b.cap_case_id AND a.work <> b.work GROUP BY ALL")
+query("Q25_schools_to_cases", f"textbooks_works textbooks_vols {_LU}", V.schools_to_cases, """SELECT school, workid, cap_case_id, CAST(sum(n) AS BIGINT) AS n FROM (SELECT workid, unnest(moml_webids) AS webid FROM {textbooks_works}) AS w LEFT JOIN (SELECT webid, school, psmid FROM {textbooks_vols}) AS v USING (webid)
+    LEFT JOIN (SELECT moml_treatise AS psmid, cap_case_id, count(*) AS n FROM {ij} WHERE cap_case_id IS NOT NULL GROUP BY ALL) AS c USING (psmid) GROUP BY ALL""")
+query("Q25_volume_to_case", _LU, V.volume_to_case, "SELECT moml_treatise, cap_case_id, count(*) AS n FROM {ij} WHERE cap_case_id IS NOT NULL GROUP BY ALL")
+query("Q26_treatises_with_subjects", "book_info book_citation book_subject", lambda *a: V.treatises_with_subjects(*a).withColumn("subjects", F.array_join("subjects", ",")), "SELECT bibliographicid, year, title, array_to_string(subjects, ',') AS subjects FROM {treatises} WHERE NOT has_null_subject AND NOT list_contains(subjects, 'UK')")
+
+# Browse
+query("B1_citation_detail", "citations_unlinked citation_links cap_cases code_reporter english_reports book_info book_citation page page_ocrtext citations_unlinked", lambda *a: B.citation_detail(*a[:-1], a[-1].select("id")), """SELECT u.id, u.raw, u.moml_treatise, u.moml_page, u.status, u.cite_linked, c.name AS cap_name, c.decision_year AS cap_year, c.frontend_url, k.name AS code_name, k.official_citation, e.er_name, e.er_cite, bi.bibliographicid, bi.year, bc.displaytitle, bc.author_composed, bi.productlink, mp.sourcepage, po.ocrtext
+    FROM {lj} u LEFT JOIN {cap_cases} c ON c.id = cap_case_id LEFT JOIN {code_reporter} k ON k.id = code_reporter_id LEFT JOIN {english_reports} e ON e.id = er_case_id LEFT JOIN {book_info} bi ON bi.psmid = moml_treatise LEFT JOIN {book_citation} bc ON bc.psmid = moml_treatise
+    LEFT JOIN {page} mp ON mp.psmid = moml_treatise AND mp.pageid = moml_page LEFT JOIN {page_ocrtext} po ON po.psmid = moml_treatise AND po.pageid = moml_page""")
+query("B2_reporter_standards", "reporters whitelist", B.reporter_standards, "SELECT reporter_standard, reporter_title, count(reporter_found) AS n FROM {reporters} LEFT JOIN {whitelist} USING (reporter_standard) GROUP BY ALL")
+query("B3_reporter_variants", "whitelist", lambda w: B.reporter_variants(w, "Mass."), "SELECT reporter_found FROM {whitelist} WHERE reporter_standard = 'Mass.'")
+query("B4_cites_for_reporter", "citations_unlinked citation_links whitelist", lambda u, k, w: B.cites_for_reporter(u, k, w, "Wend."), "SELECT id, raw, status, moml_treatise, moml_page FROM {lj} JOIN {whitelist} ON reporter_found = reporter_abbr WHERE reporter_standard = 'Wend.' ORDER BY id LIMIT 10000")
+query("B5_unwhitelisted", "citations_unlinked whitelist", B.unwhitelisted, "SELECT reporter_abbr, count(*) AS n FROM {citations_unlinked} WHERE reporter_abbr NOT IN (SELECT reporter_found FROM {whitelist}) GROUP BY 1 ORDER BY n DESC, 1 LIMIT 250")
+query("B6_cap_standards", "reporters", B.cap_standards, "SELECT reporter_standard, reporter_cap FROM {reporters} WHERE reporter_cap <> ''")
+query("B8_fuzzy_matches", "citations_unlinked reporters", lambda u, r: B.fuzzy_matches(u.select("reporter_abbr").distinct(), r), r"""SELECT reporter_abbr, reporter_standard, score, CAST(row_number() OVER (PARTITION BY reporter_abbr ORDER BY score DESC, reporter_standard) AS INT) AS rank FROM (SELECT reporter_abbr, reporter_standard,
+    CAST(CASE WHEN a = b THEN 100 WHEN starts_with(a, b) OR starts_with(b, a) THEN 90 ELSE trunc((1 - levenshtein(a, b) / greatest(strlen(a), strlen(b))) * 100) END AS INT) AS score FROM (SELECT DISTINCT reporter_abbr, regexp_replace(lower(trim(translate(reporter_abbr, '.,', ''))), ' {2,}', ' ', 'g') AS a FROM {citations_unlinked}) AS x,
+    (SELECT reporter_standard, lower(trim(translate(reporter_standard, '.,', ''))) AS b FROM {reporters}) AS y) AS z WHERE score >= 30 QUALIFY rank <= 20""")
+query("B9_dashboard", f"{_LU}", lambda k, u: B.dashboard_totals(V.dashboard_summary(k, u)), """SELECT *, CASE WHEN raw > 0 THEN round(linked * 100.0 / raw, 1)::DOUBLE ELSE 0 END AS linked_of_raw, CASE WHEN potential > 0 THEN round(linked * 100.0 / potential, 1)::DOUBLE ELSE 0 END AS linked_of_potential, CASE WHEN linked > 0 THEN round(cap * 100.0 / linked, 1)::DOUBLE ELSE 0 END AS cap_of_linked
+    FROM (SELECT *, cap + code + er AS linked, raw - junk AS potential FROM (SELECT coalesce(max(n) FILTER (metric = 'total_raw_cites'), 0) AS raw, coalesce(max(n) FILTER (metric = 'linked_cap'), 0) AS cap, coalesce(max(n) FILTER (metric = 'linked_code_reporter'), 0) AS code, coalesce(max(n) FILTER (metric = 'linked_english_reports'), 0) AS er,
+    coalesce(max(n) FILTER (metric = 'no_match'), 0) AS no_match, coalesce(max(n) FILTER (metric = 'skipped_junk'), 0) AS junk, coalesce(max(n) FILTER (metric = 'skipped_not_whitelisted'), 0) AS unlisted FROM {summary}) AS x) AS y""")
+query("B9_dashboard_order", f"{_LU} whitelist reporters", lambda *a: B.dashboard_order(V.dashboard_reporters(*a)), "SELECT *, linked + no_match + unprocessed AS total FROM {by_reporter}")
+for _w, _p in (("multi", "volume IS NOT NULL"), ("single", "volume IS NULL"), ("all", "true")):
+    query(f"B11_top_unmatched_{_w}", "unmatched_top", lambda t, w=_w: B.top_unmatched(t, w), f"SELECT * FROM {{unmatched_top}} WHERE {_p} ORDER BY n DESC, reporter_standard NULLS LAST, volume NULLS LAST, page LIMIT 1000")
+query("B12_unmatched_summary", "unmatched_top", lambda t: B.unmatched_summary(t, "all"), "SELECT count(*) AS groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS cites FROM {unmatched_top}")
+query("B13_unmatched_cites", f"{_LU} whitelist book_citation page", lambda *a: B.unmatched_cites(*a, standard="Wend.", volume=30, page_no=7), """SELECT id, raw, status, displaytitle, coalesce(nullif(sourcepage, ''), moml_page) AS sourcepage, count(*) OVER () AS total FROM {lj} JOIN {whitelist} w ON w.reporter_found = reporter_abbr AND NOT w.junk LEFT JOIN {book_citation} bc ON bc.psmid = moml_treatise LEFT JOIN {page} mp ON mp.psmid = moml_treatise AND mp.pageid = moml_page
+    WHERE w.reporter_standard = 'Wend.' AND volume = 30 AND page = 7 AND (citation_id IS NULL OR status = 'no_match')""")
+for _s in ("cites", "year", "title"):
+    query(f"B14_treatises_{_s}", "us_treatises treatise_counts book_citation", lambda u, c, b, s=_s: B.us_treatise_list(u, c, b, q="treatise", sort=s).drop("linked_pct" if s != "cites" else "none"), f"""SELECT bibliographicid, title, year, vols, author, n, linked, not_linked{", CASE WHEN n = 0 THEN 0 ELSE (linked * 100 + n // 2) // n END AS linked_pct" if _s == "cites" else ""} FROM (SELECT t.bibliographicid, title, year, vols, (SELECT min(author_composed) FROM {{book_citation}} bc WHERE bc.psmid = t.psmid[1]) AS author,
+        CAST(coalesce(n, 0) AS BIGINT) AS n, CAST(coalesce(linked, 0) AS BIGINT) AS linked, CAST(coalesce(not_linked, 0) AS BIGINT) AS not_linked FROM {{us_treatises}} t LEFT JOIN (SELECT bibliographicid, sum(n) AS n, sum(linked) AS linked, sum(not_linked) AS not_linked FROM (SELECT bibliographicid, unnest(psmid) AS moml_treatise FROM {{us_treatises}}) AS x JOIN {{treatise_counts}} USING (moml_treatise) GROUP BY 1) AS c USING (bibliographicid)
+        WHERE title ILIKE '%treatise%') AS y ORDER BY {"n DESC" if _s == "cites" else _s} NULLS LAST, bibliographicid LIMIT 100""")
+query("B15_treatise_detail", "treatises citations_unlinked citation_links", lambda t, u, k: B.treatise_detail(t, u, k, "B11"), "SELECT *, CASE WHEN n = 0 THEN 0 ELSE (linked * 100 + n // 2) // n END AS linked_pct FROM (SELECT moml_treatise, moml_page, count(*) AS n, count(*) FILTER (status LIKE 'linked_%') AS linked, count(*) - count(*) FILTER (status LIKE 'linked_%') AS not_linked FROM {lj} WHERE moml_treatise IN (SELECT unnest(psmid) FROM {treatises} WHERE bibliographicid = 'B11') GROUP BY ALL) AS x")
+query("B17_treatise_page", "citations_unlinked citation_links page_ocrtext", lambda u, k, o: B.treatise_page(u, k, o, "T11", "00010"), "SELECT id, raw, status, CASE WHEN cap_case_id IS NOT NULL THEN 'cap' WHEN er_case_id IS NOT NULL THEN 'er' WHEN code_reporter_id IS NOT NULL THEN 'code' END AS source, coalesce(cap_case_id::VARCHAR, er_case_id, code_reporter_id::VARCHAR) AS case_id, nullif(instr(coalesce(ocrtext, ''), raw), 0) AS at FROM {lj} JOIN {page_ocrtext} ON psmid = moml_treatise AND pageid = moml_page WHERE psmid = 'T11' AND pageid = '00010'")
+query("B18_highlight", "page_ocrtext", lambda o: o.where("ocrtext IS NOT NULL").select("psmid", "pageid", T.highlighted(F.col("ocrtext"), F.array(F.lit("T1"), F.lit("Text of"))).alias("html")), "SELECT psmid, pageid, replace(replace(replace(replace(replace(ocrtext, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), 'Text of', '<mark>Text of</mark>'), 'T1', '<mark>T1</mark>') AS html FROM {page_ocrtext} WHERE ocrtext IS NOT NULL")
+query("B19_page_text", "page_ocrtext", lambda o: B.page_text(o, "T11", "00010"), "SELECT coalesce(ocrtext, '') AS ocrtext FROM {page_ocrtext} WHERE psmid = 'T11' AND pageid = '00010'")
+query("B20_top_cases", "case_counts cap_cases english_reports code_reporter", B.top_cases, """SELECT t.*, coalesce(c.name_abbreviation, e.er_name, k.name) AS name, coalesce(c.decision_year, e.er_year, k.decision_year) AS year FROM (SELECT * FROM {case_counts} ORDER BY page_count DESC, source, case_id LIMIT 100) AS t
+    LEFT JOIN {cap_cases} c ON source = 'cap' AND c.id::VARCHAR = case_id LEFT JOIN {english_reports} e ON source = 'er' AND e.id = case_id LEFT JOIN {code_reporter} k ON source = 'code' AND k.id::VARCHAR = case_id""")
+query("B21_case_detail", f"{_LU} book_info book_citation page", lambda *a: B.case_detail(*a, status="linked_cap", column="cap_case_id", case_id="20"), """SELECT work, min(displaytitle) AS title, CAST(sum(cites) AS BIGINT) AS total, count(*) AS page_count, string_agg(moml_treatise || '/' || moml_page, ';' ORDER BY moml_treatise, moml_page) AS pages FROM (SELECT moml_treatise, moml_page, coalesce(bibliographicid, moml_treatise) AS work, displaytitle, coalesce(nullif(sourcepage, ''), moml_page) AS sp, count(*) AS cites
+    FROM {ij} LEFT JOIN {book_info} bi ON bi.psmid = moml_treatise LEFT JOIN {book_citation} bc ON bc.psmid = moml_treatise LEFT JOIN {page} mp ON mp.psmid = moml_treatise AND mp.pageid = moml_page WHERE status = 'linked_cap' AND cap_case_id = 20 GROUP BY ALL) AS x GROUP BY work""")
+query("B22_case_meta", "cap_cases cap_citations", B.case_meta, "SELECT c.id, name, decision_year, (SELECT arg_min(cite, (type <> 'official', cite)) FROM {cap_citations} k WHERE k.case_id = c.id) AS cite FROM {cap_cases} c")
+query("B23_normalized_list", "normalized_counts", lambda c: B.normalized_list(c, "1"), "SELECT * FROM {normalized_counts} WHERE cite_normalized LIKE '1%' ORDER BY cite_count DESC, cite_normalized LIMIT 200")
+query("B24_normalized_cites", f"{_LU} book_citation page", lambda *a: B.normalized_cites(*a, cite="20 Vern. 7"), "SELECT id, raw, status, displaytitle, sourcepage, count(*) OVER () AS total FROM {ij} LEFT JOIN {book_citation} bc ON bc.psmid = moml_treatise LEFT JOIN {page} mp ON mp.psmid = moml_treatise AND mp.pageid = moml_page WHERE cite_normalized = '20 Vern. 7'")
+query("B26_status_class", "citation_links", lambda k: k.select("citation_id", T.status_class(F.col("status")).alias("status_class")), "SELECT citation_id, CASE WHEN status LIKE 'linked\\_%' ESCAPE '\\' THEN 'linked' WHEN status = 'no_match' THEN 'no-match' WHEN status = 'skipped_junk' THEN 'junk' ELSE 'other' END AS status_class FROM {citation_links}")
+query("B27_links", "book_info page", lambda b, p: p.join(b, "psmid").select("psmid", "pageid", T.page_link(T.volume_link(F.col("productlink"), "lib", "me"), F.col("pageid")).alias("url")), "SELECT psmid, pageid, replace(replace(productlink, 'HOST', 'lib'), 'USER', 'me') || '&pg=' || ltrim(rtrim(pageid, '0'), '0') AS url FROM {page} JOIN {book_info} USING (psmid)")
+
+# Analytics
+query("N1_by_year", "metadata", lambda m: G.count_by(m, "decision_year", 1810, 1900), "SELECT decision_year, count(*) AS n FROM {metadata} WHERE decision_year BETWEEN 1810 AND 1900 GROUP BY 1")
+query("N3_age_histogram", "e2", G.age_histogram, "SELECT from_year - to_year AS age, count(*) AS n FROM {e2} WHERE from_year - to_year <= 150 GROUP BY 1")
+query("N4_shares", "e2", lambda e: G.shares(e, "from_jurisdiction", "to_jurisdiction"), "SELECT *, n / (SELECT count(*) FROM {e2}) AS of_total, n / sum(n) OVER (PARTITION BY from_jurisdiction) AS of_group FROM (SELECT from_jurisdiction, to_jurisdiction, count(*) AS n FROM {e2} GROUP BY ALL) AS x")
+query("N5_internal_external", "e2", G.internal_external, "SELECT *, CASE WHEN external > 0 THEN internal / external END AS ratio FROM (SELECT from_jurisdiction, count(*) FILTER (from_jurisdiction = to_jurisdiction) AS internal, count(*) FILTER (from_jurisdiction <> to_jurisdiction) AS external FROM {e2} WHERE from_jurisdiction IS NOT NULL AND to_jurisdiction IS NOT NULL GROUP BY 1) AS x")
+query("N6_in_degree", "edges", G.in_degree, "SELECT cites_to, count(DISTINCT cites_from) AS n FROM {edges} GROUP BY 1")
+query("N7_repeated_keys", "cap_citations", lambda c: G.repeated_keys(c, "cite"), "SELECT cite, count(*) AS n FROM {cap_citations} GROUP BY 1 HAVING count(*) > 1")
+
+
+def _years(k: DataFrame, u: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
+    rows = V.joined(k, u).join(b.select(F.col("psmid").alias("moml_treatise"), "year"), "moml_treatise")
+    return rows.join(c.select(F.col("id").alias("cap_case_id"), F.col("decision_year").alias("case_year")), "cap_case_id")
+
+
+query("N8_weighted_by_year", f"{_LU} book_info cap_cases", lambda k, u, b, c: G.weighted_by(_years(k, u, b, c).groupBy("case_year", "cap_case_id").agg(V.n("m")), "case_year", "m"), "SELECT c.decision_year AS case_year, count(*) AS n FROM {ij} JOIN {book_info} b ON b.psmid = moml_treatise JOIN {cap_cases} c ON c.id = cap_case_id GROUP BY 1")
+query("N9_age_of_authorities", f"{_LU} book_info cap_cases", lambda k, u, b, c: G.age_of_authorities(_years(k, u, b, c), 10), "SELECT CAST(floor(year / 10) * 10 AS INT) AS decade, count(*) AS n, round(avg(year - decision_year), 1) AS mean_age, quantile_cont(year - decision_year, 0.25) AS q1, quantile_cont(year - decision_year, 0.5) AS median, quantile_cont(year - decision_year, 0.75) AS q3 FROM {ij} JOIN {book_info} b ON b.psmid = moml_treatise JOIN {cap_cases} c ON c.id = cap_case_id WHERE year >= 1800 AND decision_year <= year GROUP BY 1 HAVING count(*) > 10")
+query("N10_top_subjects", "book_subject", lambda s: G.top_subjects(s, 3, ("US",)), "SELECT *, CAST(rank() OVER (ORDER BY n DESC) AS INT) AS rank FROM (SELECT subject, count(*) AS n FROM {book_subject} WHERE subject <> 'US' GROUP BY 1) AS x QUALIFY rank <= 3")
+query("N10_subject_of_work", "book_subject", lambda s: G.subject_of_work(s, G.top_subjects(s, 15)), "SELECT psmid, arg_min(subject, (r, subject)) AS subject FROM {book_subject} JOIN (SELECT subject, rank() OVER (ORDER BY count(*) DESC) AS r FROM {book_subject} WHERE subject IS NOT NULL GROUP BY 1 QUALIFY r <= 15) AS x USING (subject) GROUP BY 1")
+query("N11_undirected", f"{_LU} book_info", lambda *a: G.undirected(V.coupled_treatises(*a), "work", "other", "n"), "SELECT least(work, other) AS a, greatest(work, other) AS b, max(n) AS n FROM (SELECT a.work, b.work AS other, count(*) AS n FROM {wc} a JOIN {wc} b ON a.cap_case_id = b.cap_case_id AND a.work <> b.work GROUP BY ALL) AS x GROUP BY ALL")
+query("N13_average_gap", "e2", G.average_gap, "SELECT from_year, round(avg(from_year - to_year), 6) AS gap FROM {e2} WHERE from_year IS NOT NULL AND to_year IS NOT NULL GROUP BY 1")
+query("N14_per_decade", "e2", lambda e: e.groupBy(G.decade(F.col("from_year")).alias("decade")).agg(V.n()), "SELECT CAST(floor(from_year / 10) * 10 AS INT) AS decade, count(*) AS n FROM {e2} GROUP BY 1")
+query("N15_school_coupling", "textbooks_vols", lambda v: G.project(v, "school", "workid"), "SELECT a.school AS a, b.school AS b, count(DISTINCT a.workid) AS n FROM {textbooks_vols} a JOIN {textbooks_vols} b ON a.workid = b.workid AND a.school < b.school GROUP BY ALL")
+query("N16_pivot_topics", "textbooks_vols", lambda v: G.pivoted(v, "school", "topic", ["AUTOMOBILE", "BUILDING"]), "SELECT school, count(*) FILTER (topic = 'AUTOMOBILE') AS AUTOMOBILE, count(*) FILTER (topic = 'BUILDING') AS BUILDING FROM {textbooks_vols} GROUP BY 1")
+query("N17_projection", "edges", lambda e: G.project(e.where("cites_to < 50"), "cites_to", "cites_from"), "SELECT a.cites_to AS a, b.cites_to AS b, count(DISTINCT a.cites_from) AS n FROM {edges} a JOIN {edges} b ON a.cites_from = b.cites_from AND a.cites_to < b.cites_to WHERE a.cites_to < 50 AND b.cites_to < 50 GROUP BY ALL")
+query("N20_case_topics", f"{_LU} book_subject", lambda k, u, s: G.case_topics(V.joined(k, u).where("cap_case_id IS NOT NULL").join(s.select(F.col("psmid").alias("moml_treatise"), F.col("subject").alias("topic")), "moml_treatise").select(F.col("cap_case_id").alias("case_id"), "topic")), "SELECT topics, count(*) AS n FROM (SELECT cap_case_id, count(*) AS topics FROM (SELECT DISTINCT cap_case_id, subject FROM {ij} JOIN {book_subject} s ON s.psmid = moml_treatise WHERE cap_case_id IS NOT NULL) AS x GROUP BY 1) AS y GROUP BY 1")
+query("N21_spelling_guesses", "citations_unlinked reporters", lambda u, r: G.spelling_guesses(u, r).select("reporter_abbr", "guess_1"), r"""SELECT reporter_abbr, arg_min(reporter_standard, (-s, reporter_standard)) AS guess_1 FROM (SELECT reporter_abbr, reporter_standard, round(greatest(1 - levenshtein(reporter_abbr, reporter_standard) / greatest(length(reporter_abbr), length(reporter_standard)),
+    len(list_intersect(split(reporter_abbr, ''), split(reporter_standard, ''))) / len(list_distinct(list_concat(split(reporter_abbr, ''), split(reporter_standard, ''))))), 6) AS s FROM (SELECT DISTINCT reporter_abbr FROM {citations_unlinked}) AS x, {reporters}) AS y WHERE s >= 0.75 GROUP BY 1""")
+query("N22_split_parallel", "code_reporter", lambda c: G.split_parallel(c.select("id", "parallel_citation"), "parallel_citation").select("id", "cite", "type"), "SELECT id, cite, 'split' AS type FROM (SELECT id, trim(unnest(regexp_split_to_array(parallel_citation, '[;|:]'))) AS cite FROM {code_reporter}) AS x WHERE cite <> ''")
+query("N23_join_webid", "textbooks_works textbooks_vols", lambda w, v: w.select("workid", F.explode("moml_webids").alias("webid")).join(v.select("webid", "topic"), "webid", "left"), "SELECT w.workid, webid, topic FROM (SELECT workid, unnest(moml_webids) AS webid FROM {textbooks_works}) AS w LEFT JOIN {textbooks_vols} v USING (webid)")
+
+
+def _small_graph(k: DataFrame, u: DataFrame, b: DataFrame) -> DataFrame:
+    return G.undirected(V.coupled_treatises(k, u, b), "work", "other", "n").where("n >= 2")
+
+
+query("N12_components", f"{_LU} book_info", lambda *a: G.components(_small_graph(*a)))
+query("N12_betweenness", f"{_LU} book_info", lambda *a: G.betweenness(_small_graph(*a)))
+query("N19_communities", f"{_LU} book_info", lambda *a: G.communities(_small_graph(*a)))
+
+assert set(SQL).isdisjoint(DUCK)
