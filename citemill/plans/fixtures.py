@@ -37,7 +37,7 @@ SQL = {
     "reporters_diffvols": """SELECT DISTINCT 'Pickering' AS reporter_title, q AS vol, q + 17 AS cap_vol, 'Mass.' AS cap_reporter, 'Pick.' AS reporter_standard
         FROM {base} WHERE q <= 24""",
     "citations_unlinked": """SELECT md5(concat_ws('|', moml_treatise, moml_page, CAST(coalesce(volume, -1) AS STRING), reporter_abbr, CAST(page AS STRING))) AS id, moml_treatise, moml_page,
-        concat(coalesce(concat(CAST(volume AS STRING), ' '), ''), reporter_abbr, ' ', CAST(page AS STRING)) AS raw, volume, reporter_abbr, page
+        concat(CASE WHEN volume IS NULL THEN '' ELSE concat(CAST(volume AS STRING), ' ') END, reporter_abbr, ' ', CAST(page AS STRING)) AS raw, volume, reporter_abbr, page
         FROM (SELECT DISTINCT concat('T', CAST(ok % 97 AS STRING)) AS moml_treatise, lpad(CAST((ok % 50) * 10 AS STRING), 5, '0') AS moml_page,
             CASE WHEN r = 4 AND ln % 2 = 0 THEN NULL WHEN r = 4 THEN q % 3 ELSE q END AS volume,
             CASE WHEN sk % 11 = 0 THEN '. . .' WHEN sk % 13 = 0 THEN 'see' WHEN r = 4 THEN n WHEN r = 2 AND ln % 3 = 0 THEN 'Wen' WHEN r = 0 AND ln % 3 = 0 THEN 'Mass' ELSE concat(n, '.') END AS reporter_abbr,
