@@ -79,6 +79,13 @@ def binaries(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def sliced(batches, rows: int = 1000):
+    """Smaller batches: what is made of a batch's texts is many times their size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ensure_checkpoints(spark: SparkSession) -> str:
     """The shared folder that the session names; one of our own only where none is set (tests, local runs)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

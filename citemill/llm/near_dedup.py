@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, bitmap, checkpoint, extended, in_bitmap, mix64, powers, prefix_hashes, stored, table, words_of
+from .common import binaries, bitmap, checkpoint, extended, in_bitmap, mix64, powers, prefix_hashes, sliced, stored, table, words_of
 
 K = 5
 THRESHOLD = 0.8
@@ -113,7 +113,7 @@ def nodes_of(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text")
     """doc_id, node (long), n (shingles), d (distinct ones), keys (array of long; none without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             node, n, d, keys = [], [], [], []
             for text in binaries(batch.column(1)):
                 words = words_of(text)
@@ -132,7 +132,7 @@ def nodes_of(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text")
 
 def with_node(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             node = pa.array([_node(t or b"", words_of(t)) for t in binaries(batch.column(text_col))], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, node], [*batch.schema.names, "node"])
 
@@ -146,7 +146,7 @@ def verified(docs: DataFrame, pairs: DataFrame, *, text_col: str = "text", thres
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(bits.value, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             words = [words_of(t) for t in binaries(batch.column(0))]
             node = np.array([_node(b"", w) if w else 0 for w in words], np.int64)
             own = np.flatnonzero(in_bitmap(held, node) & np.fromiter(map(bool, words), bool, len(words)))
@@ -156,7 +156,7 @@ def verified(docs: DataFrame, pairs: DataFrame, *, text_col: str = "text", thres
     once = stored(docs.select(text_col).mapInArrow(texts, "node long, words binary").groupBy("node").agg(F.first("words").alias("words")))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             keep = [alike(np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32), threshold) for p, q in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
