@@ -68,7 +68,8 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text") ->
     """doc_id, n_words, n_base, first_word, last_word (long), base_labels, labels (string), score (double)."""
     spark, known = docs.sparkSession, grams()
     templates = spark.createDataFrame([(gram_hash(g), *rest[:3], g, *rest[3:]) for t, label, i, g, n, base in known for rest in [(t, label, i, n, base)]], "hash long, template int, label string, at int, gram string, grams int, base boolean")
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD), F.lit(0))
+    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), words.alias("w")).withColumn("n_words", F.size("w").cast("long"))
     candidates = []
     for k in sorted({len(g.split()) for _, _, _, g, _, _ in known}):
