@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, table
+from .common import WORD, table, word_array
 
 #: Phrases whose places are counted, with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -69,7 +69,7 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text") ->
     spark, known = docs.sparkSession, grams()
     templates = spark.createDataFrame([(gram_hash(g), *rest[:3], g, *rest[3:]) for t, label, i, g, n, base in known for rest in [(t, label, i, n, base)]], "hash long, template int, label string, at int, gram string, grams int, base boolean")
     lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    words = word_array(lowered)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), words.alias("w")).withColumn("n_words", F.size("w").cast("long"))
     candidates = []
     for k in sorted({len(g.split()) for _, _, _, g, _, _ in known}):
