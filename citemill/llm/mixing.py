@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, checkpoint, table
+from .common import WORD, checkpoint, table, word_array
 
 DIMS = ("source", "lang", "topic")
 TEMPER = 0.5
@@ -44,7 +44,7 @@ def topic(text: Column, tokens: Column) -> Column:
 
 def weighed(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """docs with tokens (long) and, unless there is one, topic; the marginals without nulls as m_<name>."""
-    tokens = F.coalesce(F.regexp_count(F.lower(F.col(text_col)), F.lit(WORD)), F.lit(0)).cast("long")
+    tokens = F.size(word_array(F.col(text_col))).cast("long")
     out = docs.withColumn("tokens", tokens)
     if "topic" not in out.columns:
         out = out.withColumn("topic", topic(F.col(text_col), F.col("tokens")))
