@@ -56,16 +56,16 @@ def features(text: bytes) -> np.ndarray:
     return (out / (np.linalg.norm(out) or 1)).astype(np.float32)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, *, c: float = 1000.0, rounds: int = 150) -> tuple[np.ndarray, float]:
-    """A linear SVM with squared hinge loss, classes weighted alike; y is 1 or -1. By accelerated gradient descent, in 32 bits."""
-    y = y.astype(np.float32)
+def fit_svm(xa: np.ndarray, xb: np.ndarray, *, c: float = 1000.0, rounds: int = 150) -> tuple[np.ndarray, float]:
+    """A linear SVM of class a against class b, with squared hinge loss, weighted alike. By accelerated gradient descent, in 32 bits."""
+    y = np.repeat(np.array([1, -1], np.float32), [len(xa), len(xb)])
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32) * np.float32(c)
-    w = v = np.zeros(x.shape[1], np.float32)
+    w = v = np.zeros(xa.shape[1], np.float32)
     bias = b = np.float32(0)
     step = np.float32(1 / (1 + 4 * float(weight.sum())))
     for k in range(rounds):
-        slope = weight * y * np.maximum(np.float32(0), 1 - y * (x @ v + b)) * np.float32(2)
-        new_w, new_b = v - step * (v - slope @ x), b + step * slope.sum()
+        slope = weight * y * np.maximum(np.float32(0), 1 - y * (np.concatenate([xa @ v, xb @ v]) + b)) * np.float32(2)
+        new_w, new_b = v - step * (v - slope[: len(xa)] @ xa - slope[len(xa) :] @ xb), b + step * slope.sum()
         ahead = np.float32(k / (k + 3))
         v, b = new_w + ahead * (new_w - w), new_b + ahead * (new_b - bias)
         w, bias = new_w, new_b
@@ -73,7 +73,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, *, c: float = 1000.0, rounds: int = 15
 
 
 class Hierarchy:
-    """One-versus-one SVMs of families, and of the languages of each family."""
+    """One-versus-one SVMs of families, and of the languages of each family. Rows are sorted by family and language."""
 
     def __init__(self, x: np.ndarray, langs: list[str]):
         names = np.array(langs, dtype=object)
@@ -87,9 +87,12 @@ class Hierarchy:
     @staticmethod
     def _pairs(x: np.ndarray, of: np.ndarray, names: list[str]) -> dict[tuple[str, str], tuple[np.ndarray, float]]:
         out = {}
+        rows = {}
+        for n in names:  # neighbouring rows, so that nothing is copied
+            own = np.flatnonzero(of == n)
+            rows[n] = x[own[0] : own[-1] + 1]
         for a, b in combinations(names, 2):
-            own = (of == a) | (of == b)
-            out[a, b] = fit_svm(x[own], np.where(of[own] == a, 1.0, -1.0))
+            out[a, b] = fit_svm(rows[a], rows[b])
         return out
 
     @staticmethod
@@ -127,9 +130,14 @@ def fit(labelled: DataFrame, *, key: Column, text_col: str = "text", lang_col: s
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), *batch.columns[1:]], ["x", "lang", "_h"])
 
     sample = rows.where(F.col("_h") <= last).select(text_col, F.col(lang_col).alias("lang"), "_h")
-    got = sorted(sample.mapInArrow(run, "x binary, lang string, _h long").collect(), key=lambda r: (r["_h"], r.lang, bytes(r.x)))[:max_train]
-    x = np.array([np.frombuffer(r.x, np.float16) for r in got], dtype=np.float32).reshape(-1, DIM)
-    return Hierarchy(x, [r.lang for r in got])
+    got = sample.mapInArrow(run, "x binary, lang string, _h long").toArrow().to_pydict()
+    chosen = sorted(range(len(got["lang"])), key=lambda i: (got["_h"][i], got["lang"][i], got["x"][i]))[:max_train]
+    chosen.sort(key=lambda i: (FAMILY_OF.get(got["lang"][i], got["lang"][i]), got["lang"][i]))
+    langs, x = [got["lang"][i] for i in chosen], np.empty((len(chosen), DIM), np.float32)
+    for row, i in enumerate(chosen):
+        x[row] = np.frombuffer(got["x"][i], np.float16)
+    del got
+    return Hierarchy(x, langs)
 
 
 def predict(docs: DataFrame, model: Hierarchy, *, text_col: str = "text") -> DataFrame:
