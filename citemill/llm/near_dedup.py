@@ -154,6 +154,7 @@ def verified(docs: DataFrame, pairs: DataFrame, *, text_col: str = "text", thres
             yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array([word_hashes(words[i]).tobytes() for i in own], pa.binary())], ["node", "words"])
 
     once = stored(docs.select(text_col).mapInArrow(texts, "node long, words binary").groupBy("node").agg(F.first("words").alias("words")))
+    bits.destroy()  # the table is written: nothing asks for the bitmap again
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -189,8 +190,8 @@ def _close(threshold: float):
     return F.expr(f"least(n, hn) >= {threshold} * greatest(n, hn) OR least(d, hd) >= {threshold} * greatest(d, hd)")
 
 
-def links(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Verified links (a, b) between different texts, enough to connect every class."""
+def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(node, root) of the nodes with verified links to other texts; the links are enough to connect every class."""
     node = nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("d").alias("d"), F.first("keys").alias("keys"))
     each = node.select("node", "n", "d", F.posexplode("keys").alias("band", "key"))
     # Four orders of nodes, by band, so that a class has several hubs.
@@ -206,10 +207,10 @@ def links(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", threshol
 
     tested = stored(pairs(buckets, "first").union(pairs(buckets, "last")).distinct())
     found = stored(verified(docs, tested, text_col=text_col, threshold=threshold))
+    root = components(found)
     round_ = 0
     while True:
         round_ += 1
-        root = components(found)
         degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
         known = root.join(degree, "node")
         mixed = (
@@ -219,20 +220,23 @@ def links(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", threshol
         )
         best = F.struct("links", F.xxhash64("node", F.lit(round_)).alias("o"), "node", "n", "d", "root")
         hub = mixed.groupBy("key").agg(F.max(best).alias("hub"), F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
-        apart = mixed.join(hub, "key").where("root <> hub.root")
-        new = stored(pairs(apart, "hub").distinct().join(tested, ["a", "b"], "left_anti"))
+        hub = hub.select("key", F.struct("hub.node", "hub.n", "hub.d", "hub.root").alias("hub"))
+        # Classes only grow: a bucket whose members are all in one class has no more pairs to test.
+        open_ = stored(mixed.select("key", "node", "n", "d", "root").join(hub, "key"))
+        new = stored(pairs(open_.where("root <> hub.root"), "hub").distinct().join(tested, ["a", "b"], "left_anti"))
         if new.isEmpty():
-            return found
+            return root
         more = stored(verified(docs, new, text_col=text_col, threshold=threshold))
         if more.isEmpty():
-            return found
-        tested, found = tested.union(new), found.union(more)
+            return root
+        tested, found, buckets = tested.union(new), found.union(more), open_.drop("root", "hub")
+        root = components(found)
 
 
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node, root, class_id, class_size (long): one row per document."""
     nodes = stored(nodes_of(docs, doc_id=doc_id, text_col=text_col))
-    root = components(links(docs, nodes, text_col=text_col, threshold=threshold))
+    root = connected(docs, nodes, text_col=text_col, threshold=threshold)
     by_node = nodes.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     rooted = checkpoint(by_node.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")))
     named = rooted.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
