@@ -167,22 +167,27 @@ def verified(docs: DataFrame, pairs: DataFrame, *, text_col: str = "text", thres
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the least node that is connected to each node of the edges (a, b). Labels spread and jump to their own labels."""
-    both = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
-    while True:
-        spread = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("root").alias("near"))
-            .join(labels, "node")
-            .select("node", F.least("near", "root").alias("next"), F.col("root").alias("was"))
-        )
-        jump = labels.select(F.col("node").alias("next"), F.col("root").alias("far"))
-        after = checkpoint(spread.join(jump, "next").select("node", F.least("next", "far").alias("root"), (F.least("next", "far") < F.col("was")).alias("moved")))
-        labels = after.select("node", "root")
-        if after.where("moved").isEmpty():
-            return labels
+    """(node, root): the least node that is connected to each node of the edges (a, b).
+
+    Every node joins its least neighbour, edges are renamed, and loops and repeats go, until no edge is left: an edge is joined
+    once or a few times, however many rounds there are. Nodes are hashes, so that a constant share of them goes in each round.
+    """
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    edges = checkpoint(edges.where("a <> b").select(*ordered).distinct())
+    steps: list[DataFrame] = []
+    while not steps or not edges.isEmpty():
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(edges.select("b", "a"))
+        step = checkpoint(ends.groupBy("node").agg(F.min("near").alias("near")).select("node", F.least("node", "near").alias("root")))
+        steps.append(step)
+        renamed = edges
+        for c in ("a", "b"):
+            renamed = renamed.join(step.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c)
+        edges = checkpoint(renamed.where("a_root <> b_root").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).select(*ordered).distinct())
+    labels = steps.pop()
+    while steps:
+        far = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        labels = checkpoint(steps.pop().join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root")))
+    return labels
 
 
 def _close(threshold: float):

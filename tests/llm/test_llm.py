@@ -100,6 +100,21 @@ def test_repeats(spark, monkeypatch, hot):
         assert bytes(r.text) == np.frombuffer(t, np.uint8)[~inside].tobytes()
 
 
+def test_components(spark):
+    rng = np.random.default_rng(3)
+    names = rng.integers(-(2**63), 2**63 - 1, 400)
+    edges = [(int(names[i]), int(names[j])) for i, j in rng.integers(0, 400, (260, 2))]
+    edges += [(int(a), int(b)) for a, b in zip(names[:60], names[1:61])] + [edges[0], edges[0][::-1]]
+    root = {n: n for e in edges for n in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    loops = {a for a, b in edges if a == b} - {n for a, b in edges if a != b for n in (a, b)}
+    got = near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.root for r in got} == {n: r for n, r in root.items() if n not in loops} and len(got) == len(root) - len(loops)
+    assert near_dedup.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_near_copies(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = {r.doc_id: r.class_id for r in Q.queries()["op10_near_dedup"](spark, SF).collect()}
