@@ -87,11 +87,17 @@ def binaries(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def sliced(batches, rows: int = 1000):
-    """Smaller batches: what is made of a batch's texts is many times their size."""
+def sliced(batches, rows: int = 1000, size: int = 1 << 20):
+    """Smaller batches, of at most so many rows and bytes (or one row): what is made of a batch's texts is many times their size."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        left = [batch]
+        while left:
+            part = left.pop()
+            n = part.num_rows
+            if n > 1 and (n > rows or part.nbytes > size):
+                left += [part.slice(n // 2), part.slice(0, n // 2)]
+            elif n:
+                yield part
 
 
 def ensure_checkpoints(spark: SparkSession) -> str:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDS_ONLY, binaries, checkpoint, table, words_of
+from .common import WORDS_ONLY, binaries, checkpoint, sliced, table, words_of
 
 WINDOW = 13
 #: A document is contaminated when 1 / COVERAGE of its words or more are hit.
@@ -178,7 +178,7 @@ def hit_spans(
 def _scanned(docs: DataFrame, text_col: str, held, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = SuffixAutomaton(held.value, window)
-        for batch in batches:
+        for batch in sliced(batches):
             n_words, spans, items = [], [], []
             for text, was, known in zip(binaries(batch.column(text_col)), batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
                 words = words_of(text)
@@ -210,7 +210,7 @@ def without_spans(judged_docs: DataFrame, *, text_col: str = "text", min_words:
     """The texts with every hit span of at least min_words words cut out, up to the word after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = []
             for text, spans in zip(binaries(batch.column(text_col)), batch.column("spans").to_pylist(), strict=True):
                 spans = [s for s in spans or [] if s["hi"] - s["lo"] >= min_words]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binaries, extended, table
+from .common import binaries, extended, sliced, table
 
 #: Families of languages by ISO 639-1 code. A code that is not listed is a family of its own.
 FAMILIES = {
@@ -125,7 +125,7 @@ def fit(labelled: DataFrame, *, key: Column, text_col: str = "text", lang_col: s
         return Hierarchy(np.zeros((0, DIM), np.float32), [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             x = [features(t).astype(np.float16).tobytes() for t in binaries(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), *batch.columns[1:]], ["x", "lang", "_h"])
 
@@ -146,7 +146,7 @@ def predict(docs: DataFrame, model: Hierarchy, *, text_col: str = "text") -> Dat
     docs = docs.drop("lang_pred", "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             got = [held.value.predict(t) for t in batch.column(text_col).to_pylist()]
             columns = {c: batch.column(c) for c in batch.schema.names}
             columns |= {"lang_pred": pa.array([g for g, _ in got], pa.string()), "score": pa.array([s for _, s in got], pa.float64())}

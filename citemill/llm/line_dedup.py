@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, binaries, checkpoint, extended, mix64, table
+from .common import LOWER, binaries, checkpoint, extended, mix64, sliced, table
 
 MIN_DOCS = 10
 SHARD_KEYS = 100_000
@@ -42,7 +42,7 @@ def line_hashes(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(h1, h2): the hash of each distinct line key of each document, empty keys left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keys: list[bytes] = []
             for text in binaries(batch.column(0)):
                 own = set(line_keys(text))
@@ -182,7 +182,7 @@ def _probed(base: DataFrame, text_col: str, held, n_shards: int, *, last: bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(n_shards, held.value)
-        for batch in batches:
+        for batch in sliced(batches):
             texts, before = binaries(batch.column(text_col)), batch.column("_drop").to_pylist()
             keys = [line_keys(t) for t in texts]
             flat = [k for own in keys for k in own]

@@ -67,8 +67,10 @@ def labelled(words: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
 def order_minhash(labels: np.ndarray) -> np.ndarray:
     """SKETCHES keys, as int64."""
     n = len(labels)
-    v = mix64(labels[None, :] ^ _SEEDS[:, None])
-    pick = np.sort(np.argpartition(v, PICK - 1, axis=1)[:, :PICK], axis=1) if n > PICK else np.tile(np.arange(n), (SKETCHES, 1))
+    if n > PICK:  # one seed at a time, so that a very long text takes no more than a few copies of its labels
+        pick = np.sort([np.argpartition(mix64(labels ^ seed), PICK - 1)[:PICK] for seed in _SEEDS], axis=1)
+    else:
+        pick = np.tile(np.arange(n), (SKETCHES, 1))
     key = _SEEDS.copy()
     for j in range(pick.shape[1]):
         key = mix64(key * _P + labels[pick[:, j]])
