@@ -2,9 +2,10 @@
 
 A document's k-mers are its five-word shingles, each labelled with its occurrence number. For each of SKETCHES seeds the PICK
 k-mers with the least hashes are taken in the order of the text and hashed to a key; documents that share a key are candidates.
-Exact copies (the same words) are one node from the start. In a bucket of a key, members are compared with a few hubs and never
-with each other pairwise; further rounds compare members that are still in another class with the member of most links, until a
-round finds no new link. A candidate pair is verified by a banded alignment of its k-mers, in which a text position may move as
+Exact copies (the same words) are one node from the start. In a bucket of a key, members are compared with a few hubs first;
+further rounds compare members that are still in another class with the member of most links, until a round finds no new link.
+Then all pairs of a bucket that are still in two classes are compared with each other, in blocks; signatures of the shingles
+rule out those that cannot be alike, and never others. A candidate pair is verified by a banded alignment of its k-mers, in which a text position may move as
 far as THRESHOLD allows: matches / (both lengths - matches). A pair that has the shingles but not their order is accepted by the
 Jaccard index of its shingles, as multisets or sets, since that is the similarity asked for. Classes are the connected components.
 
@@ -34,6 +35,9 @@ SKETCHES = 16
 PICK = 3
 _SEEDS = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _P = np.uint64(0xD6E8FEB86659FD93)
+#: Bits of a signature, and members of a bucket in a block of pairs.
+SIGNATURE = 1024
+BLOCK = 256
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -77,6 +81,12 @@ def order_minhash(labels: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def signature(labels: np.ndarray) -> bytes:
+    """SIGNATURE bits, each the parity of the labels that fall on it: two sets differ in as many labels as bits, at least."""
+    count = np.bincount((labels % np.uint64(SIGNATURE)).astype(np.int64), minlength=SIGNATURE)
+    return np.packbits(count.astype(np.uint8) & 1).tobytes()
+
+
 def aligned(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, threshold: float = THRESHOLD) -> float:
     """The similarity of two labelled sequences by the longest chain of matches within the band; ia, ib: where they match."""
     band = int((len(a) + len(b)) * (1 - threshold) / (1 + threshold)) + 1
@@ -112,24 +122,25 @@ def _node(text: bytes, words: list[bytes]) -> int:
 
 
 def nodes_of(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, node (long), n (shingles), d (distinct ones), keys (array of long; none without words)."""
+    """doc_id, node (long), n (shingles), d (distinct ones), sig (signatures of all and of distinct ones), keys (array of long; none without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            node, n, d, keys = [], [], [], []
+            node, n, d, sig, keys = [], [], [], [], []
             for text in binaries(batch.column(1)):
                 words = words_of(text)
                 labels, first = labelled(word_hashes(words))
                 node.append(_node(text or b"", words))
                 n.append(len(labels))
                 d.append(int(first.sum()))
+                sig.append(signature(labels) + signature(labels[first]))
                 keys.append(order_minhash(labels).tolist() if len(labels) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(d, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "node", "n", "d", "keys"],
+                [batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(d, pa.int32()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "node", "n", "d", "sig", "keys"],
             )
 
-    return docs.select(F.col(doc_id).alias("doc_id"), text_col).mapInArrow(run, "doc_id long, node long, n int, d int, keys array<long>")
+    return docs.select(F.col(doc_id).alias("doc_id"), text_col).mapInArrow(run, "doc_id long, node long, n int, d int, sig binary, keys array<long>")
 
 
 def with_node(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -197,6 +208,64 @@ def _close(threshold: float):
     return F.expr(f"least(n, hn) >= {threshold} * greatest(n, hn) OR least(d, hd) >= {threshold} * greatest(d, hd)")
 
 
+def _group_pairs(group: pa.RecordBatch, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of nodes of one block (or of two, then across them) that are in two classes and not ruled out."""
+    node, own, root, n, d = (group.column(c).to_numpy() for c in ("node", "own", "root", "n", "d"))
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint64).reshape(len(node), 2, -1)
+    across = group.column("bi")[0].as_py() != group.column("bj")[0].as_py()
+    most = (1 - threshold) / (1 + threshold)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(len(node) - 1):
+        rest = slice(i + 1, None)
+        keep = root[rest] != root[i]
+        if across:
+            keep &= own[rest] != own[i]
+        k = i + 1 + np.flatnonzero(keep)
+        size = lambda x: np.minimum(x[k], x[i]) >= threshold * np.maximum(x[k], x[i]) - 1e-6  # noqa: B023, E731
+        k = k[size(n) | size(d)]
+        differ = np.bitwise_count(sig[k] ^ sig[i]).sum(axis=2)
+        k = k[(differ[:, 0] <= (n[k] + n[i]) * most + 1e-6) | (differ[:, 1] <= (d[k] + d[i]) * most + 1e-6)]
+        a.append(np.minimum(node[k], node[i]))
+        b.append(np.maximum(node[k], node[i]))
+    return np.concatenate(a), np.concatenate(b)
+
+
+def all_pairs(open_: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), each once: the pairs of nodes that share a key of open_ (key, node, n, d, root), are in two classes and not ruled out.
+
+    The members of a bucket are dealt to blocks, and pairs of blocks to tasks: a bucket of any size is spread, and a member is
+    copied once for each block of its bucket.
+    """
+    sizes = open_.groupBy("key").agg(F.count("*").alias("size")).where("size > 3")  # of three members, the hubs met all
+    sizes = sizes.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    dealt = open_.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
+    dealt = dealt.join(nodes.groupBy("node").agg(F.first("sig").alias("sig")), "node")
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"), "own", "node", "n", "d", "root", "sig")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(group: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _group_pairs(group, threshold)], ["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.concat_batches([*held, batch])
+            ids = [rows.column(c).to_numpy() for c in ("key", "bi", "bj")]
+            ends = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ids], axis=0)) + 1
+            start = 0
+            for end in ends.tolist():
+                yield found(rows.slice(start, end - start))
+                start = end
+            held = [rows.slice(start)]
+        for group in held:
+            yield found(group)
+
+    by = ["key", "bi", "bj"]
+    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long").distinct()
+
+
 def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(node, root) of the nodes with verified links to other texts; the links are enough to connect every class."""
     node = nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("d").alias("d"), F.first("keys").alias("keys"))
@@ -231,13 +300,18 @@ def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", thre
         # Classes only grow: a bucket whose members are all in one class has no more pairs to test.
         open_ = stored(mixed.select("key", "node", "n", "d", "root").join(hub, "key"))
         new = stored(pairs(open_.where("root <> hub.root"), "hub").distinct().join(tested, ["a", "b"], "left_anti"))
-        if new.isEmpty():
-            return root
-        more = stored(verified(docs, new, text_col=text_col, threshold=threshold))
-        if more.isEmpty():
-            return root
+        more = None if new.isEmpty() else stored(verified(docs, new, text_col=text_col, threshold=threshold))
+        if more is None or more.isEmpty():
+            break
         tested, found, buckets = tested.union(new), found.union(more), open_.drop("root", "hub")
         root = components(found)
+    # What the hubs leave: pairs that share a key and are in two classes, each compared or ruled out.
+    tested = tested if more is None else tested.union(new)
+    left = stored(all_pairs(open_.drop("hub"), nodes, threshold).join(tested, ["a", "b"], "left_anti"))
+    if left.isEmpty():
+        return root
+    last = stored(verified(docs, left, text_col=text_col, threshold=threshold))
+    return root if last.isEmpty() else components(found.union(last))
 
 
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
