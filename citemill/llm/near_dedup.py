@@ -1,7 +1,9 @@
-"""Near-duplicate classes with order MinHash.
+"""Near-duplicate classes with MinHash.
 
 A document's k-mers are its five-word shingles, each labelled with its occurrence number. For each of SKETCHES seeds the PICK
-k-mers with the least hashes are taken in the order of the text and hashed to a key; documents that share a key are candidates.
+k-mers with the least hashes are hashed to a key, whatever their order in the text; and so are the PICK distinct shingles with the
+least hashes, so that neither moved nor repeated parts hide a pair. The two keys are one in most texts, which repeat no shingle.
+Documents that share a key are candidates.
 Exact copies (the same words) are one node from the start. In a bucket of a key, members are compared with a few hubs first;
 further rounds compare members that are still in another class with the member of most links, until a round finds no new link.
 Then all pairs of a bucket that are still in two classes are compared with each other, in blocks; signatures of the shingles
@@ -68,17 +70,26 @@ def labelled(words: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     return mix64(h + occurrence.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)), occurrence == 0
 
 
-def order_minhash(labels: np.ndarray) -> np.ndarray:
-    """SKETCHES keys, as int64."""
+def _sketch(labels: np.ndarray) -> np.ndarray:
+    """SKETCHES keys of a set of labels."""
     n = len(labels)
     if n > PICK:  # one seed at a time, so that a very long text takes no more than a few copies of its labels
-        pick = np.sort([np.argpartition(mix64(labels ^ seed), PICK - 1)[:PICK] for seed in _SEEDS], axis=1)
+        pick = np.array([labels[np.argpartition(mix64(labels ^ seed), PICK - 1)[:PICK]] for seed in _SEEDS])
     else:
-        pick = np.tile(np.arange(n), (SKETCHES, 1))
+        pick = np.tile(labels, (SKETCHES, 1))
+    pick.sort(axis=1)
     key = _SEEDS.copy()
     for j in range(pick.shape[1]):
-        key = mix64(key * _P + labels[pick[:, j]])
-    return key.astype(np.int64)
+        key = mix64(key * _P + pick[:, j])
+    return key
+
+
+def minhash(labels: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The keys, as int64, of the labelled shingles and of the distinct ones: SKETCHES to twice as many, each once."""
+    keys = _sketch(labels)
+    if not first.all():
+        keys = np.unique(np.concatenate([keys, _sketch(labels[first])]))
+    return keys.astype(np.int64)
 
 
 def signature(labels: np.ndarray) -> bytes:
@@ -134,7 +145,7 @@ def nodes_of(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text")
                 n.append(len(labels))
                 d.append(int(first.sum()))
                 sig.append(signature(labels) + signature(labels[first]))
-                keys.append(order_minhash(labels).tolist() if len(labels) else [])
+                keys.append(minhash(labels, first).tolist() if len(labels) else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(d, pa.int32()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "node", "n", "d", "sig", "keys"],
@@ -269,9 +280,9 @@ def all_pairs(open_: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
 def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(node, root) of the nodes with verified links to other texts; the links are enough to connect every class."""
     node = nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("d").alias("d"), F.first("keys").alias("keys"))
-    each = node.select("node", "n", "d", F.posexplode("keys").alias("band", "key"))
-    # Four orders of nodes, by band, so that a class has several hubs.
-    each = each.withColumn("o", F.xxhash64("node", F.col("band") % 4)).drop("band")
+    each = node.select("node", "n", "d", F.explode("keys").alias("key"))
+    # Four orders of nodes, by key, so that a class has several hubs.
+    each = each.withColumn("o", F.xxhash64("node", F.pmod("key", F.lit(4))))
     member = F.struct("o", "node", "n", "d")
     hubs = each.groupBy("key").agg(F.min(member).alias("first"), F.max(member).alias("last"), F.count("*").alias("size")).where("size > 1").drop("size")
     buckets = stored(each.join(hubs, "key"))

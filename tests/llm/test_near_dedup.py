@@ -50,3 +50,20 @@ def test_signatures_rule_out_no_close_pair():
         y = np.concatenate([x[n // 10 :], rng.integers(0, 2**63, n // 10).astype(np.uint64)])
         a, b = (np.frombuffer(near_dedup.signature(v), np.uint64) for v in (x, y))
         assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+
+
+def test_repeated_and_moved_parts(spark):
+    """Pairs that are alike as sets of shingles, however often or in what order they hold them."""
+    rng = random.Random(7)
+    texts = []
+    for times in (2, 3, 5, 10) * 20:
+        text = words(rng, 100)
+        texts += [" ".join(text), " ".join(text * times)]
+    for _ in range(60):
+        sections = [words(rng, 50) for _ in range(20)]
+        moved = rng.sample(sections, 20)
+        texts += [" ".join(sum(sections, [])), " ".join(sum(moved, []))]
+    texts += ["one " * 5 + "one", "one " * 7 + "one"]
+    pairs, got = list(close_pairs(texts)), class_of(spark, texts)
+    assert pairs and all(got[i] == got[j] for i, j in pairs)
+    assert len(pairs) == len(set(got.values())) == len(texts) // 2
