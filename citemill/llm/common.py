@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from ..plans.scratch import checkpoint, components, ensure_checkpoints, freed, fresh, stored  # noqa: F401  for the operators
+
 #: A word: a run of code points other than ASCII punctuation, space, control characters and upper case
 #: (texts are lower-cased in A-Z first).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -100,40 +98,6 @@ def sliced(batches, rows: int = 1000, size: int = 1 << 20):
                 yield part
 
 
-def ensure_checkpoints(spark: SparkSession) -> str:
-    """The shared folder that the session names; one of our own only where none is set (tests, local runs)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isEmpty():
-        spark.sparkContext.setCheckpointDir(found or f"{tempfile.gettempdir()}/checkpoints/{uuid.uuid4().hex}")
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return found or current.get()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage; the rows go to the shared folder."""
-    ensure_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write the rows as a Parquet table in the shared folder and read it back (compressed, and it survives executors)."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoints(spark)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_drop, spark, path)
-    return spark.read.parquet(path)
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001  the session has ended: nothing can be cleaned up any more
-        pass
-
-
 #: Bits of a membership bitmap. Its size is fixed, whatever the input: beyond some hundred million keys it lets more
 #: keys through, which costs work and never changes a result.
 BITMAP_BITS = 1 << 26

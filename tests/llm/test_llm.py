@@ -113,18 +113,3 @@ def test_components(spark):
     got = near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == {n: r for n, r in root.items() if n not in loops} and len(got) == len(root) - len(loops)
     assert near_dedup.components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def test_near_copies(spark):
-    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
-    got = {r.doc_id: r.class_id for r in Q.queries()["op10_near_dedup"](spark, SF).collect()}
-    shingles = {}
-    for r in rows:
-        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").lower())
-        shingles[r.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-    ids = sorted(shingles)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1 :]:
-            x, y = shingles[a], shingles[b]
-            if len(x & y) >= 0.8 * len(x | y):
-                assert got[a] == got[b]
