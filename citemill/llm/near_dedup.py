@@ -185,8 +185,9 @@ def verified(words: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -
 
 
 def prefixes(crowd: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """crowd (node, n, root, words) -> (label, node, n, root): the rarest n - ceil(threshold * n) + 1 k-mers of each member, but for
-    those that no other member has. Rare: by counts in SLOTS slots of hashes, a fixed order that all members share."""
+    """crowd (node, n, root, words) -> (node, n, root, sig, labels): the signature of each member, and the rarest
+    n - ceil(threshold * n) + 1 of its k-mers, from rare to frequent, but for those that no other member has. Rare: by counts in
+    SLOTS slots of hashes, a fixed order that all members share."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(SLOTS, np.int64)
@@ -204,28 +205,30 @@ def prefixes(crowd: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            rows, kept = [], []
-            for i, w in enumerate(batch.column("words").to_pylist()):
+            sig, kept = [], []
+            for w in batch.column("words").to_pylist():
                 labels = labelled(np.frombuffer(w, np.uint32))
                 c = held.value[(labels % np.uint64(SLOTS)).astype(np.int64)]
                 first = np.lexsort((labels, c))[: len(labels) - int(np.ceil(threshold * len(labels) - 1e-9)) + 1]
-                first = first[c[first] > 1]
-                rows += [i] * len(first)
-                kept.append(labels[first].astype(np.int64))
-            own = batch.select(["node", "n", "root"]).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept) if kept else np.zeros(0, np.int64)), *own.columns], ["label", "node", "n", "root"])
+                kept.append(labels[first[c[first] > 1]].astype(np.int64))
+                sig.append(signature(labels))
+            own = [batch.column(c) for c in ("node", "n", "root")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(sig, pa.binary()), pa.array(kept, pa.list_(pa.int64()))], ["node", "n", "root", "sig", "labels"])
 
-    return crowd.select("words", "node", "n", "root").mapInArrow(rare, "label long, node binary, n int, root binary")
+    return crowd.select("words", "node", "n", "root").mapInArrow(rare, "node binary, n int, root binary, sig binary, labels array<long>")
 
 
 def _group_pairs(group: pa.RecordBatch, threshold: float) -> list[tuple[bytes, bytes]]:
-    """The pairs of nodes of one block (or of two, then across them) that are in two classes and not ruled out."""
+    """The pairs of nodes of one block (or of two, then across them) that are in two classes and not ruled out. Of the labels that
+    two nodes share, only the rarest gives the pair."""
     node = group.column("node").to_pylist()
     own, n = group.column("own").to_numpy(), group.column("n").to_numpy()
     roots: dict[bytes, int] = {}
     root = np.array([roots.setdefault(r, len(roots)) for r in group.column("root").to_pylist()])
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint64).reshape(len(node), -1)
-    across = group.column("bi")[0].as_py() != group.column("bj")[0].as_py()
+    across, label = group.column("bi")[0].as_py() != group.column("bj")[0].as_py(), group.column("label")[0].as_py()
+    labels = group.column("labels").to_pylist()
+    before = [frozenset(x[: x.index(label)]) for x in labels]
     most = (1 - threshold) / (1 + threshold)
     out = []
     for i in range(len(node) - 1):
@@ -236,12 +239,12 @@ def _group_pairs(group: pa.RecordBatch, threshold: float) -> list[tuple[bytes, b
         k = i + 1 + np.flatnonzero(keep)
         k = k[np.minimum(n[k], n[i]) >= threshold * np.maximum(n[k], n[i]) - 1e-6]
         k = k[np.bitwise_count(sig[k] ^ sig[i]).sum(axis=1) <= (n[k] + n[i]) * most + 1e-6]
-        out += [(min(node[i], node[j]), max(node[i], node[j])) for j in k.tolist()]
+        out += [(min(node[i], node[j]), max(node[i], node[j])) for j in k.tolist() if before[i].isdisjoint(before[j])]
     return out
 
 
 def pairs_in_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """rows (label, node, n, root, sig) -> (a, b), each once: the pairs that share a label, are in two classes and not ruled out.
+    """rows (label, node, n, root, sig, labels) -> (a, b), each once: the pairs that share a label, are in two classes and not ruled out.
 
     The members of a group are dealt to blocks, and pairs of blocks to tasks: a group of any size is spread, and a member is
     copied once for each block of its group.
@@ -249,7 +252,7 @@ def pairs_in_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sizes = rows.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = rows.join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("label", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"), "own", "node", "n", "root", "sig")
+    dealt = dealt.select("label", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"), "own", "node", "n", "root", "sig", "labels")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(group: pa.RecordBatch) -> pa.RecordBatch:
@@ -272,16 +275,7 @@ def pairs_in_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             yield found(group)
 
     by = ["label", "bi", "bj"]
-    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a binary, b binary").distinct()
-
-
-def _signed(crowd: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            sig = [signature(labelled(np.frombuffer(w, np.uint32))) for w in batch.column("words").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sig, pa.binary())], ["node", "sig"])
-
-    return crowd.select("node", "words").mapInArrow(run, "node binary, sig binary")
+    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a binary, b binary")
 
 
 def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -311,12 +305,14 @@ def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", thre
     if crowd.isEmpty():
         freed(words, tested, found, crowd)
         return root
-    rows = stored(prefixes(crowd, threshold))
+    members = stored(prefixes(crowd, threshold))
+    rows = members.select(F.explode("labels").alias("label"), "node", "root")
     open_ = rows.groupBy("label").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("label")
-    left = stored(pairs_in_groups(rows.join(open_, "label", "left_semi").join(_signed(crowd), "node"), threshold).join(tested, ["a", "b"], "left_anti"))
+    rows = rows.drop("root").join(open_, "label", "left_semi").join(members, "node")
+    left = stored(pairs_in_groups(rows, threshold).join(tested, ["a", "b"], "left_anti"))
     more = stored(verified(words, left, threshold))
     whole = components(found.union(more))
-    freed(words, tested, found, crowd, rows, left, more, root)
+    freed(words, tested, found, crowd, members, left, more, root)
     return whole
 
 
