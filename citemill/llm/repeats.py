@@ -5,11 +5,17 @@ minimizers. Consecutive windows with one minimizer make a segment, so that suffi
 minimizer's hash. Segments travel as hashes; only one copy of each distinct segment, of minimizers that distinct segments share,
 is shuffled as text. Groups of segments are put into blocks, and a block into a suffix array with the lengths of common
 prefixes; a stack scan walks its tree of common-prefix intervals and reports those with different bytes to the left: the
-maximal repeats, with all their occurrences. A minimizer with over HOT_SEGMENTS distinct segments (a passage that many documents
-share) is too large for a task's block; its windows are counted by 128-bit hashes instead, spread over all tasks.
+maximal repeats, with all their occurrences.
+
+A minimizer with over HOT_SEGMENTS distinct segments (the edge of a passage that many documents share) is too large for a block.
+Its windows are told apart by how many bytes they have before the minimizer: equal windows have as many. The range of these numbers
+is halved, and so each segment in two; windows of one half share more than the minimizer, and are grouped by all that they share.
+Parts that are alone in their group are done, equal ones are repeats as a whole, groups that are small enough go to the suffix
+arrays, and the rest is halved again, at most eight times: a range of one holds equal windows alone.
 
 Defined results: a null text is empty; texts shorter than `length` bytes stay; rows that repeat count as further occurrences;
-strings never reach from one document into another; an empty table gives no rows; further columns pass through.
+strings never reach from one document into another; an empty table gives no rows; further columns pass through, whatever their
+names, but for those named as the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -23,14 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import binaries, bitmap, doc_keys, extended, in_bitmap, mix64, powers, prefix_hashes, stored, table
+from .common import binaries, bitmap, doc_keys, extended, fresh, in_bitmap, mix64, powers, prefix_hashes, stored, table
 
 LENGTH = 200
 GRAM = 32
 #: Windows of a text that are looked at together.
 CHUNK = 1 << 20
 #: So many segments of at most 2 * LENGTH bytes fill a block of a few MB.
-HOT_SEGMENTS = 8192
+HOT_SEGMENTS = 1024
 BLOCK_BYTES = 1 << 20
 
 
@@ -189,14 +195,12 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
     occ = stored(_each(keyed, occurrences, "h long, k1 long, k2 long, r1 long, r2 long, start int, n int, place long"))
 
     # 3. Distinct segments; how many of them share a minimizer.
-    distinct = occ.groupBy("h", "k1", "k2").agg(F.count("*").alias("times"), F.min("place").alias("place"), F.first("n").alias("n"))
-    shared = distinct.groupBy("h").agg(F.count("*").alias("kinds"))
-    distinct = stored(distinct.join(shared.where("kinds > 1"), "h", "left").where("times > 1 OR kinds > 1"))
+    distinct = stored(occ.groupBy("h", "k1", "k2").agg(F.count("*").alias("times"), F.min("place").alias("place"), F.first("n").alias("n")))
+    shared = stored(distinct.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     whole = distinct.where("times > 1").select("k1", "k2", F.lit(0).alias("lo"), F.col("n").alias("hi"))
-    several = distinct.where("kinds > 1")
-    wanted = sc.broadcast(bitmap(several.where(f"kinds <= {HOT_SEGMENTS}"), "place"))
+    several = stored(distinct.join(shared, "h").select("place", "kinds"))
 
-    # 4. One copy of each distinct segment to the suffix arrays.
+    # 4. One copy of each distinct segment, to the suffix arrays or to be halved.
     def copies(held):
         def emit(text, r1, r2, first, last, h):
             own = in_bitmap(np.frombuffer(bits.value, np.int64), h)
@@ -207,28 +211,88 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
 
         return emit
 
-    texts = _each(keyed, copies(wanted), "h long, segment binary")
-    parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    grouped = texts.repartition(int(parts), "h").sortWithinPartitions("h")
-    found = grouped.mapInArrow(_suffix_arrays, "k1 long, k2 long, lo int, hi int")
-
-    # 5. Minimizers that too many distinct segments share.
-    covers = whole.unionByName(found)
+    wanted = sc.broadcast(bitmap(several.where(f"kinds <= {HOT_SEGMENTS}"), "place"))
+    covers = whole.unionByName(_in_blocks(_each(keyed, copies(wanted), "h long, segment binary"), "h"))
     hot = several.where(f"kinds > {HOT_SEGMENTS}")
     if not hot.isEmpty():
-        covers = covers.unionByName(_by_windows(keyed, sc.broadcast(bitmap(hot, "place")), bits))
+        held = sc.broadcast(bitmap(hot, "place"))
+        own = _each(keyed, copies(held), "h long, segment binary").join(shared.where(f"kinds > {HOT_SEGMENTS}").select("h"), "h", "left_semi")
+        covers = covers.unionByName(_halved(stored(own.select("segment").distinct())))
 
     pair = F.concat(_int32(F.expr("start + lo")), _int32(F.expr("start + hi")))
     return occ.join(covers, ["k1", "k2"]).groupBy("r1", "r2").agg(F.collect_list(pair).alias("spans"))
 
 
+def _in_blocks(texts: DataFrame, *key: str) -> DataFrame:
+    """texts (key, segment) -> (k1, k2, lo, hi): what repeats cover of each distinct segment, by its hash."""
+    parts = texts.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return texts.select(*key, "segment").repartition(int(parts), *key).sortWithinPartitions(*key).mapInArrow(_suffix_arrays, "k1 long, k2 long, lo int, hi int")
+
+
+def _anchor(segment: bytes) -> int:
+    """Where the minimizer stands in a segment."""
+    b = np.frombuffer(segment, np.uint8)
+    s, n = prefix_hashes(b), len(b)
+    h = mix64((s[GRAM:] - s[:-GRAM]) * powers(n + 1)[1][: n - GRAM + 1])
+    return int(np.argmin(h & ~np.uint64((1 << 24) - 1)))
+
+
+def halves(segment: bytes, lo: int, hi: int, length: int = LENGTH) -> Iterator[tuple[bytes, int, bytes, int, int]]:
+    """Of the windows of a segment that have lo to hi - 1 bytes before the minimizer, in halves: what all such windows share, where
+    the part with the segment's own ones begins, the part, and the range."""
+    at = _anchor(segment)
+    mid = (lo + hi) // 2
+    for a, b in ((lo, mid), (mid, hi)):
+        least, most = max(a, at - (len(segment) - length)), min(b - 1, at)
+        if least <= most:
+            yield segment[at - a : at + length + 1 - b], at - most, segment[at - most : at - least + length], a, b
+
+
+def _halved(segments_: DataFrame) -> DataFrame:
+    """(segment), distinct ones of hot minimizers -> (k1, k2, lo, hi): what repeats cover of each, by its hash."""
+    names = ["g1", "g2", "t1", "t2", "k1", "k2", "off", "n", "a", "b"]
+    schema = "g1 long, g2 long, t1 long, t2 long, k1 long, k2 long, off int, n int, a int, b int, segment binary"
+    arrow = to_arrow_schema(_parse_schema(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for segment, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("segment", "a", "b")), strict=True):
+                rows += [(core, off, part, a, b, segment) for core, off, part, a, b in halves(segment, lo, hi)]
+            if not rows:
+                continue
+            g = _hash128([b"%d %d " % (a, b) + core for core, _, _, a, b, _ in rows])
+            t, k = _hash128([r[2] for r in rows]), _hash128([r[5] for r in rows])
+            values = [g[:, 0], g[:, 1], t[:, 0], t[:, 1], k[:, 0], k[:, 1], [r[1] for r in rows], [len(r[2]) for r in rows], [r[3] for r in rows], [r[4] for r in rows]]
+            columns = [pa.array(np.array(v), arrow.field(c).type) for c, v in zip(names, values, strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([r[5] for r in rows], pa.binary())], schema=arrow)
+
+    open_ = segments_.select("segment", F.lit(0).alias("a"), F.lit(LENGTH - GRAM + 1).alias("b"))
+    out: list[DataFrame] = []
+    while not open_.isEmpty():
+        parts = stored(open_.mapInArrow(run, schema))
+        text = F.expr("substring(segment, off + 1, n)").alias("segment")
+        kinds = stored(parts.groupBy("g1", "g2", "t1", "t2").agg(F.count("*").alias("times"), F.first(text).alias("segment")))
+        size = stored(kinds.groupBy("g1", "g2").agg(F.count("*").alias("size")).where("size > 1"))
+        twice = kinds.where("times > 1").select("g1", "g2", "t1", "t2")
+        out.append(parts.join(twice, ["g1", "g2", "t1", "t2"], "left_semi").selectExpr("k1", "k2", "off AS lo", "off + n AS hi"))
+        few = kinds.join(size.where(f"size <= {HOT_SEGMENTS}"), ["g1", "g2"], "left_semi")
+        found = _in_blocks(few, "g1", "g2").withColumnsRenamed({"k1": "t1", "k2": "t2"})
+        out.append(parts.join(found, ["t1", "t2"]).selectExpr("k1", "k2", "off + lo AS lo", "off + hi AS hi"))
+        open_ = parts.join(size.where(f"size > {HOT_SEGMENTS}"), ["g1", "g2"], "left_semi").select("segment", "a", "b")
+    covers = out[0]
+    for df in out[1:]:
+        covers = covers.unionByName(df)
+    return stored(covers.distinct())
+
+
 def _int32(column):
     """Four bytes, big-endian."""
     return F.unhex(F.lpad(F.hex(column), 8, "0"))
 
 
 def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, segment), sorted by h, in blocks of whole groups."""
+    """Rows (key, segment), sorted by the key, in blocks of whole groups."""
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
     def solved(block: list[bytes]) -> pa.RecordBatch:
@@ -242,12 +306,12 @@ def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     group: dict[bytes, None] = {}
     last, size = None, 0
     for batch in batches:
-        for h, segment in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if h != last:
+        for *key, segment in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != last:
                 if len(group) > 1:
                     block.extend(group)
                     size += sum(map(len, group))
-                group, last = {}, h
+                group, last = {}, key
                 if size > BLOCK_BYTES:
                     yield solved(block)
                     block, size = [], 0
@@ -258,37 +322,20 @@ def _suffix_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield solved(block)
 
 
-def _by_windows(keyed: DataFrame, places, bits) -> DataFrame:
-    """(k1, k2, lo, hi) of the distinct segments in `places`: their windows, counted by hash."""
-
-    def emit(text, r1, r2, first, last, h):
-        own = in_bitmap(np.frombuffer(bits.value, np.int64), h)
-        own[own] = in_bitmap(np.frombuffer(places.value, np.int64), _places(r1, r2, first[own]))
-        if not own.any():
-            return None
-        bounds = list(zip(first[own].tolist(), last[own].tolist(), strict=True))
-        n = np.array([b - a - LENGTH + 1 for a, b in bounds])
-        at = np.concatenate([np.arange(k, dtype=np.int32) for k in n])
-        w = _hash128([text[a + i : a + i + LENGTH] for (a, _), k in zip(bounds, n.tolist(), strict=True) for i in range(k)])
-        k = np.repeat(_hash128([text[a:b] for a, b in bounds]), n, axis=0)
-        return w[:, 0], w[:, 1], k[:, 0], k[:, 1], at
-
-    windows = stored(_each(keyed, emit, "w1 long, w2 long, k1 long, k2 long, at int"))
-    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
-    return windows.join(twice.select("w1", "w2"), ["w1", "w2"], "left_semi").selectExpr("k1", "k2", "at AS lo", f"at + {LENGTH} AS hi").distinct()
-
-
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the text as binary (a cut may split a code point), and n_bytes, n_removed, n_spans (long)."""
-    own = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "r1", "r2", "spans")]
+    own = [c for c in docs.columns if c.lower() not in ("n_bytes", "n_removed", "n_spans")]
     docs = docs.select(*own)
+    r1, r2, spans_col = (fresh(c, own) for c in ("r1", "r2", "spans"))
+    spans = repeated_spans(docs, doc_id=doc_id, text_col=text_col).toDF(r1, r2, spans_col)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    joined = docs.select(*[text.alias(c) if c == text_col else F.col(c) for c in own], *doc_keys(doc_id, text_col)).join(repeated_spans(docs, doc_id=doc_id, text_col=text_col), ["r1", "r2"], "left").drop("r1", "r2")
+    keys = [k.alias(c) for k, c in zip(doc_keys(doc_id, text_col), (r1, r2), strict=True)]
+    joined = docs.select(*[text.alias(c) if c == text_col else F.col(c) for c in own], *keys).join(spans, [r1, r2], "left").select(*own, spans_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n_bytes, n_removed, n_spans = [], [], [], []
-            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column(spans_col).to_pylist(), strict=True):
                 n_bytes.append(len(text))
                 if spans:
                     pairs = np.frombuffer(b"".join(spans), ">i4").reshape(-1, 2)
@@ -302,11 +349,11 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
                     n_removed.append(0)
                     n_spans.append(0)
                 kept.append(text)
-            columns = {c: batch.column(c) for c in batch.schema.names if c != "spans"} | {text_col: pa.array(kept, pa.binary())}
+            columns = {c: batch.column(c) for c in batch.schema.names if c != spans_col} | {text_col: pa.array(kept, pa.binary())}
             columns |= {"n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64())}
             yield pa.RecordBatch.from_pydict(columns)
 
-    return joined.mapInArrow(run, extended(joined.drop("spans").schema, n_bytes="long", n_removed="long", n_spans="long"))
+    return joined.mapInArrow(run, extended(joined.drop(spans_col).schema, n_bytes="long", n_removed="long", n_spans="long"))
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

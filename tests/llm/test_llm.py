@@ -86,18 +86,41 @@ def test_perfect_hash():
     assert sorted(line_dedup.PerfectHash.build(keys).index(keys)) == list(range(5000))
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT_SEGMENTS, 1])
-def test_repeats(spark, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
-    seen = collections.Counter(t[i : i + 200] for t in texts.values() for i in range(len(t) - 199))
-    for r in repeats.remove_repeats(docs).collect():
-        t, inside = texts[r.doc_id], np.zeros(len(texts[r.doc_id]), bool)
+def _without_repeats(texts):
+    """By counting all windows."""
+    seen = collections.Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    for t in texts:
+        inside = np.zeros(len(t), bool)
         for i in range(len(t) - 199):
             if seen[t[i : i + 200]] > 1:
                 inside[i : i + 200] = True
-        assert bytes(r.text) == np.frombuffer(t, np.uint8)[~inside].tobytes()
+        yield np.frombuffer(t, np.uint8)[~inside].tobytes(), int(inside.sum())
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT_SEGMENTS, 1])
+def test_repeats(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    got = {r.doc_id: (bytes(r.text), r.n_removed) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[r.doc_id] for r in rows] == list(_without_repeats([(r.text or "").encode() for r in rows]))
+
+
+@pytest.mark.parametrize("hot", [1024, 40, 3])
+def test_passage_between_many_contexts(spark, monkeypatch, hot):
+    """One passage in 300 texts, cut off at every place, with own bytes or those of another around it."""
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+    rng = np.random.default_rng(4)
+    letters = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    passage, sides, texts = letters(420), [letters(150) for _ in range(6)], []
+    for _ in range(300):
+        a, b = sorted(rng.integers(0, 420, 2))
+        left = letters(60) + sides[rng.integers(6)][-rng.integers(1, 150) :]
+        texts.append(left + passage[a:b] + sides[rng.integers(6)][: rng.integers(1, 150)] + letters(60))
+    texts += [b"ab" * 300, b"a" * 450, b"a" * 200]
+    docs = spark.createDataFrame([(i, t.decode(), "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, R1 string, spans int")
+    out = repeats.remove_repeats(docs)
+    assert out.columns == ["doc_id", "text", "R1", "spans", "n_bytes", "n_removed", "n_spans"]
+    assert [(bytes(r.text), r.n_removed) for r in out.orderBy("doc_id").collect()] == list(_without_repeats(texts))
 
 
 def test_components(spark):
