@@ -6,26 +6,33 @@ that. Two fingerprints are compared by weighted edit distance (a replacement is
 equal block size, where they share a run of RUN characters (short ones: of a third of the shorter).
 
 Defined results: a null text is empty; its fingerprint is `3:::`; equal fingerprints have likeness 1; without a block size in
-common it is 0.
+common it is 0. Documents follow each other in ascending order of doc_id, null first; those of one id in that of a hash of their
+texts; rows that repeat follow each other, and a document alone follows itself. An empty table gives no rows; further columns pass
+through fingerprints(), but for one of that name, which is replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import extended, mix64, powers, prefix_hashes, table
+from .common import binaries, extended, mix64, powers, prefix_hashes, sliced, table
 
 LEAST_BLOCK = 3
 LENGTH = 64
 RUN = 4
+#: Bytes of text in a range of documents that follow each other.
+RANGE_BYTES = 16 << 20
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 
+
 def _rolling(b: np.ndarray) -> np.ndarray:
     """At each byte, a 32-bit hash of the seven bytes that end there."""
     padded = np.concatenate([np.zeros(6, np.uint32), b.astype(np.uint32)])
@@ -102,43 +109,65 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     docs = docs.drop("fingerprint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             prints = [fingerprint((t or "").encode()) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints)], [*batch.schema.names, "fingerprint"])
 
     return docs.mapInArrow(run, extended(docs.schema, fingerprint="string"))
 
 
-def with_next(docs: DataFrame, body, schema: str, *, rows_per_part: int = 20_000) -> DataFrame:
-    """Deal (doc_id, text) in ascending order of doc_id (null first; equal ids by text) into contiguous ranges, each with the
-    first row that follows it, and run body over pairs (id, text, next text); the first document follows the last.
+def with_next(docs: DataFrame, body, schema: str, *, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Deal (doc_id, text) in ascending order of doc_id (null first; equal ids by a hash of the text) into contiguous ranges, each
+    with the first row that follows it, and run body over (id, text, next text); the first document follows the last.
 
-    Ranges are cut at exact ranks of hashed blocks of ids; only one id a range comes to the driver.
+    A first pass over ids, hashes and sizes, sorted by ranges, cuts a range after every range_bytes of text; the first key of each
+    range (24 bytes) comes to the driver and goes to all tasks. Texts are moved once.
     """
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL")
-    n = docs.count()
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-n // rows_per_part)) if n else 1
-    cuts = sorted({c for c in ids.agg(F.percentile_approx("doc_id", F.array([F.lit((k + 1) / parts) for k in range(parts - 1)]), 100 * parts)).first()[0] or []}) if parts > 1 and n else []
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    # The number of cuts below the id, by binary search in the bounds (-1 of an absent one turned around).
-    part = F.coalesce(F.size(F.filter(bounds, lambda c: c < F.col("doc_id"))), F.lit(0)) if len(cuts) <= 64 else _bucket(bounds)
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("part", part.cast("int"))
-    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.xxhash64("text").alias("h"))
-    heads = sorted((tuple(r.first), r.part) for r in keyed.groupBy("part").agg(F.min(order).alias("first")).collect())
-    # The first row of each range also goes to the range before it, and the first of all to the last range.
-    before = {heads[k][0]: heads[k - 1][1] for k in range(len(heads))} if heads else {}
-    held = docs.sparkSession.createDataFrame([(*k, v) for k, v in before.items()], "known boolean, doc_id long, h long, before int")
-    extra = (
-        keyed.withColumn("h", F.xxhash64("text"))
-        .join(F.broadcast(held.select(F.col("doc_id").alias("i"), F.col("h").alias("g"), "before")), F.expr("doc_id <=> i AND h = g"))
-        .select("doc_id", "text", F.col("before").alias("part"), F.lit(1).alias("extra"))
-    )
-    both = keyed.withColumn("extra", F.lit(0)).unionByName(extra)
-    dealt = both.repartitionByRange(max(1, len(heads)), "part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    spark = docs.sparkSession
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    keys = own.select(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room = -1
+        for batch in batches:
+            firsts = []
+            for i, size in enumerate(batch.column("size").to_pylist()):
+                if room < 0:
+                    firsts.append(i)
+                    room = range_bytes
+                room -= size
+            yield batch.select(["known", "doc_id", "h"]).take(pa.array(firsts, pa.int64()))
+
+    order = ["known", "doc_id", "h"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = keys.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(cut, "known boolean, doc_id long, h long").collect()
+    bounds = sorted({(r.known, r.doc_id or 0, r.h) for r in found})
+    held = spark.sparkContext.broadcast(bounds)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts = held.value
+        for batch in sliced(batches):
+            rows, part, extra, hashes = [], [], [], []
+            for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), binaries(batch.column("text")), strict=True)):
+                h = xxhash.xxh64_intdigest(text, seed=42)
+                h -= (h >> 63) << 64
+                key = (doc_id is not None, doc_id or 0, h)
+                k = bisect_right(cuts, key) - 1
+                # The first row of a range also ends the range before it, and the first of all the last range.
+                for p, e in ((k, 0), ((k - 1) % len(cuts), 1)) if cuts[k] == key else ((k, 0),):
+                    rows.append(i)
+                    part.append(p)
+                    extra.append(e)
+                    hashes.append(h)
+            columns = [*batch.take(pa.array(rows, pa.int64())).columns, pa.array(part, pa.int32()), pa.array(extra, pa.int32()), pa.array(hashes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "part", "extra", "h"])
+
+    dealt = own.mapInArrow(deal, "doc_id long, text string, part int, extra int, h long").repartitionById(max(1, len(bounds)), "part")
+    dealt = dealt.sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "h").drop("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for batch in batches:
+            for batch in sliced(batches):
                 yield from zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "part", "extra")), strict=True)
 
         yield from body(_pairs(rows()))
@@ -146,18 +175,6 @@ def with_next(docs: DataFrame, body, schema: str, *, rows_per_part: int = 20_000
     return dealt.mapInArrow(run, schema)
 
 
-def _bucket(bounds):
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(20)),
-        F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi")),
-        lambda a, _: F.struct(
-            F.when((a["lo"] < a["hi"]) & (F.get(bounds, ((a["lo"] + a["hi"]) / 2).cast("int")) < F.col("doc_id")), ((a["lo"] + a["hi"]) / 2).cast("int") + 1).otherwise(a["lo"]).alias("lo"),
-            F.when((a["lo"] < a["hi"]) & ~(F.get(bounds, ((a["lo"] + a["hi"]) / 2).cast("int")) < F.col("doc_id")), ((a["lo"] + a["hi"]) / 2).cast("int")).otherwise(a["hi"]).alias("hi"),
-        ),
-        lambda a: a["lo"],
-    )
-
-
 def _pairs(rows):
     """(id, text, next text) of each row that isn't extra; extra ones only follow the last row of their range."""
     held = None

@@ -1,7 +1,6 @@
 """The training-data operators against brute force and on odd inputs."""
 
 import collections
-import hashlib
 import re
 
 import duckdb
@@ -72,15 +71,6 @@ def test_held_out_languages(spark):
     assert np.mean([got[r.doc_id].lang_pred == r.lang for r in rows]) > 0.9
 
 
-def test_fuzzy_hash(spark):
-    docs = sorted(spark.read.parquet(f"{SF}/documents.parquet").collect(), key=lambda r: r.doc_id)
-    got = {r.doc_id: r for r in Q.queries()["op3_fuzzy_hash"](spark, SF).collect()}
-    for k, d in enumerate(docs):
-        text = fuzzy_hash.edited(d.text or "", docs[(k + 1) % len(docs)].text or "")
-        assert got[d.doc_id].edited_sha256 == hashlib.sha256(text.encode()).hexdigest()
-    assert np.mean([r.near_edited for r in got.values()]) > 0.4 > 0.05 > np.mean([r.near_next for r in got.values()])
-
-
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
     assert sorted(line_dedup.PerfectHash.build(keys).index(keys)) == list(range(5000))
