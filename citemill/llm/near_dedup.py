@@ -226,9 +226,8 @@ def _group_pairs(group: pa.RecordBatch, threshold: float) -> list[tuple[bytes, b
     roots: dict[bytes, int] = {}
     root = np.array([roots.setdefault(r, len(roots)) for r in group.column("root").to_pylist()])
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint64).reshape(len(node), -1)
-    across, label = group.column("bi")[0].as_py() != group.column("bj")[0].as_py(), group.column("label")[0].as_py()
-    labels = group.column("labels").to_pylist()
-    before = [frozenset(x[: x.index(label)]) for x in labels]
+    across = group.column("bi")[0].as_py() != group.column("bj")[0].as_py()
+    before = [frozenset(x) for x in group.column("rarer").to_pylist()]
     most = (1 - threshold) / (1 + threshold)
     out = []
     for i in range(len(node) - 1):
@@ -244,7 +243,7 @@ def _group_pairs(group: pa.RecordBatch, threshold: float) -> list[tuple[bytes, b
 
 
 def pairs_in_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """rows (label, node, n, root, sig, labels) -> (a, b), each once: the pairs that share a label, are in two classes and not ruled out.
+    """rows (label, node, n, root, sig, rarer: its labels before this one) -> (a, b), each once: the pairs that share a label, are in two classes and not ruled out.
 
     The members of a group are dealt to blocks, and pairs of blocks to tasks: a group of any size is spread, and a member is
     copied once for each block of its group.
@@ -252,7 +251,7 @@ def pairs_in_groups(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sizes = rows.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = rows.join(sizes, "label").withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("label", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"), "own", "node", "n", "root", "sig", "labels")
+    dealt = dealt.select("label", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"), "own", "node", "n", "root", "sig", "rarer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(group: pa.RecordBatch) -> pa.RecordBatch:
@@ -306,9 +305,12 @@ def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", thre
         freed(words, tested, found, crowd)
         return root
     members = stored(prefixes(crowd, threshold))
-    rows = members.select(F.explode("labels").alias("label"), "node", "root")
+    rows = members.select(F.posexplode("labels").alias("at", "label"), "node", "root")
     open_ = rows.groupBy("label").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("label")
-    rows = rows.drop("root").join(open_, "label", "left_semi").join(members, "node")
+    # Labels of one class alone give no pair: they go before anything is joined to the rest.
+    own = rows.drop("root").join(open_, "label", "left_semi").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("at", "label"))).alias("own"))
+    own = own.select("node", F.col("own.label").alias("labels")).join(members.drop("labels"), "node")
+    rows = own.select(F.posexplode("labels").alias("at", "label"), "*").select("label", "node", "n", "root", "sig", F.expr("slice(labels, 1, at)").alias("rarer"))
     left = stored(pairs_in_groups(rows, threshold).join(tested, ["a", "b"], "left_anti"))
     more = stored(verified(words, left, threshold))
     whole = components(found.union(more))
