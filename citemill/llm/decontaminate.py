@@ -4,23 +4,26 @@ Test items are normalised to words and put into one automaton; documents stream
 suffix that is a run of item words. A run of `window` words of an item (or a whole shorter item) that occurs in a document
 marks its words as hit. Documents are cut or rejected by the length of hit spans and their coverage.
 
-Items are taken in blocks of at most `block_words` words, one automaton each; a test set of more blocks is passed over the
-documents block by block, so that what is broadcast is bounded.
+Items are taken in blocks of at most `block_words` words, one automaton each, so that what is broadcast is bounded; a longer item is
+cut into pieces that overlap by all but one word of a window. Documents are read once for each block; with more than one, the hits
+alone are kept, by text, and joined with the documents once. A Python worker builds an automaton once, however many tasks it runs.
 
-Defined results: a null text has no words and is never contaminated; an item without words is ignored; repeated rows are
-judged one by one; an empty test set or table gives no hits or no rows; further columns pass through.
+Defined results: a null text has no words and is never contaminated; an item without words is ignored; an item without an id counts
+among n_items, but not in the list; items of one id are one; repeated rows are judged one by one; an empty test set or table gives
+no hits or no rows; further columns pass through, whatever their names, but for those named as the results, which are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDS_ONLY, binaries, checkpoint, sliced, table, words_of
+from .common import WORDS_ONLY, binaries, extended, fresh, sliced, stored, table, word_array, words_of
 
 WINDOW = 13
 #: A document is contaminated when 1 / COVERAGE of its words or more are hit.
@@ -31,7 +34,7 @@ BLOCK_WORDS = 200_000
 class SuffixAutomaton:
     """Of some sequences of words. States are numbers, 0 is the root."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window, self.vocabulary = window, {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
@@ -140,11 +143,63 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> list[int]:
-    """The number of blocks the items are dealt into."""
-    words = F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-    total = benchmark.agg(F.sum(words)).first()[0] or 0
-    return max(1, -(-total // block_words))
+def pieces_of(words: list[bytes], most: int, window: int) -> Iterator[list[bytes]]:
+    """Pieces of at most `most` words (at least two windows) with every window of the words in one of them."""
+    most, at = max(most, 2 * window), 0
+    while words:
+        yield words[at : at + most]
+        if at + most >= len(words):
+            break
+        at += most - window + 1
+
+
+def _dealt(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_words: int) -> tuple[DataFrame, list[int]]:
+    """The pieces (item, words, slot) of all items, once each, and the slots at which blocks of at most block_words words end."""
+    block_words = max(block_words, 8 * window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
+                own = [b" ".join(p) for p in pieces_of(words_of(text), block_words // 4, window)]
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(own), pa.string()), pa.array(own, pa.binary())], ["item", "words"])
+
+    items = benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("string"))
+    pieces = stored(items.mapInArrow(run, "item string, words binary").distinct().withColumn("h", F.xxhash64("item", "words")))
+    n_words = F.size(F.split(F.col("words").cast("string"), " "))
+    # Hashes deal pieces into some tens of slots a block; neighbouring slots are put into one block as far as there is room.
+    total = pieces.agg(F.sum(n_words)).first()[0] or 0
+    slots = 64 * (1 + total // block_words)
+    while True:
+        sums = pieces.groupBy(F.pmod("h", F.lit(slots)).alias("slot")).agg(F.sum(n_words).alias("words"), F.count("*").alias("pieces")).orderBy("slot").collect()
+        if all(r.words <= block_words or r.pieces == 1 for r in sums):
+            break
+        slots *= 4
+    ends, room = [], block_words
+    for r in sums:
+        if r.words > room and room < block_words:
+            ends.append(r.slot)
+            room = block_words
+        room -= r.words
+    return pieces.withColumn("slot", F.pmod("h", F.lit(slots))), [*ends, slots]
+
+
+_BUILT: dict[str, SuffixAutomaton] = {}
+
+
+def _built(name: str, build: Callable[[], SuffixAutomaton]) -> SuffixAutomaton:
+    """The automaton of that name, which a worker keeps from task to task; one at a time."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = build()
+    return _BUILT[name]
+
+
+_SPANS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+_HITS = "spans array<struct<lo:int,hi:int>>, items array<string>"
+
+
+def _in_order(items) -> list[str | None]:
+    return sorted(items, key=lambda x: (x is None, x or ""))
 
 
 def hit_spans(
@@ -158,41 +213,67 @@ def hit_spans(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """docs with n_words (long), spans (array of [first word, end) structs, merged) and items (sorted array of strings)."""
-    spark, n = docs.sparkSession, _blocks(benchmark, item_col, item_text_col, block_words)
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("binary").alias("text"))
-    out = docs.select(
-        *[c for c in docs.columns if c not in ("n_words", "spans", "items")],
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<struct<lo:int,hi:int>>").alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-    )
-    for block in range(n):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == block).orderBy("item", "text").collect()
-        held = spark.sparkContext.broadcast([(r.item or "", words_of(r.text)) for r in own])
-        out = _scanned(out, text_col, held, window)
-        if block < n - 1:
-            out = checkpoint(out)
-    return out
+    sc = docs.sparkSession.sparkContext
+    pieces, ends = _dealt(benchmark, item_col, item_text_col, window, block_words)
+    out = docs.select(*[c for c in docs.columns if c.lower() not in ("n_words", "spans", "items")])
+    held = []
+    for lo, hi in zip([0, *ends], ends):
+        own = pieces.where((F.col("slot") >= lo) & (F.col("slot") < hi)).orderBy("item", "words").collect()
+        held.append((uuid.uuid4().hex, sc.broadcast([(r.item, bytes(r.words).split()) for r in own])))
+    if len(held) == 1:
+        return _scanned(out, text_col, *held[0], window)
+    key = fresh("_key", out.columns)
+    found = None
+    for name, items in held:
+        hits = _hits(out.select(F.md5(text_col).alias("key"), text_col), name, items, window)
+        found = hits if found is None else found.unionByName(hits)
+    by = found.groupBy("key").agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    by = by.mapInArrow(_merged_hits, f"{key} string, {_HITS}")
+    whole = out.withColumn(key, F.md5(text_col)).join(by, key, "left").withColumn("n_words", F.size(word_array(F.col(text_col))).cast("long"))
+    empty = {"spans": "array<struct<lo:int,hi:int>>", "items": "array<string>"}
+    return whole.select(*out.columns, "n_words", *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in empty.items()])
+
+
+def _merged_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans = [[{"lo": a, "hi": b} for a, b in merged([(x["lo"], x["hi"]) for x in own])] for own in batch.column(1).to_pylist()]
+        items = [_in_order(x) for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], batch.schema.names)
+
+
+def _hits(texts: DataFrame, name: str, held, window: int) -> DataFrame:
+    """texts (key, text) -> key, spans, items of those with hits."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _built(name, lambda: SuffixAutomaton(held.value, window))
+        for batch in sliced(batches):
+            keys, spans, items = [], [], []
+            for key, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
+                hit, found = automaton.scan(words_of(text))
+                if hit:
+                    keys.append(key)
+                    spans.append([{"lo": a, "hi": b} for a, b in merged(hit)])
+                    items.append(_in_order(found))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], ["key", "spans", "items"])
+
+    return texts.mapInArrow(run, f"key string, {_HITS}")
 
-def _scanned(docs: DataFrame, text_col: str, held, window: int) -> DataFrame:
+
+def _scanned(docs: DataFrame, text_col: str, name: str, held, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = SuffixAutomaton(held.value, window)
+        automaton = _built(name, lambda: SuffixAutomaton(held.value, window))
         for batch in sliced(batches):
             n_words, spans, items = [], [], []
-            for text, was, known in zip(binaries(batch.column(text_col)), batch.column("spans").to_pylist(), batch.column("items").to_pylist(), strict=True):
+            for text in binaries(batch.column(text_col)):
                 words = words_of(text)
                 hit, found = automaton.scan(words)
                 n_words.append(len(words))
-                spans.append([{"lo": a, "hi": b} for a, b in merged(hit + [(x["lo"], x["hi"]) for x in was])])
-                items.append(sorted(found.union(known)))
-            columns = {c: batch.column(c) for c in batch.schema.names}
-            columns["n_words"] = pa.array(n_words, pa.int64())
-            columns["spans"] = pa.array(spans, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))
-            columns["items"] = pa.array(items, pa.list_(pa.string()))
-            yield pa.RecordBatch.from_pydict(columns)
+                spans.append([{"lo": a, "hi": b} for a, b in merged(hit)])
+                items.append(_in_order(found))
+            columns = [pa.array(n_words, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "n_words", "spans", "items"])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, extended(docs.schema, n_words="long", spans="array<struct<lo:int,hi:int>>", items="array<string>"))
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, *, coverage: int = COVERAGE, **options) -> DataFrame:
