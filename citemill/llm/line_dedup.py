@@ -1,12 +1,14 @@
 """Line deduplication with a sharded minimal perfect hash.
 
-The distinct lines that reach the document count are hashed to 128 bits. 64 of them place a line in a shard and, in the
-shard's minimal perfect hash, at an index; the other 64 are kept at that index as a fingerprint next to the count. Documents
-probe these arrays; their lines are never shuffled again or joined. Shards are probed in groups of at most `group_bytes`,
-so that what is broadcast is bounded; with more shards than fit into one group the documents are passed again per group.
-
-Defined results: a null or empty text is one empty line and stays as it is (null: ''); rows that repeat count as documents
-of their own; an empty table gives no rows; further columns pass through.
+The distinct lines that reach the document count are hashed to 128 bits. They place a line in a shard and, in the shard's minimal
+perfect hash, at an index; the second 64 of them are kept at that index as a fingerprint next to the count. Documents probe these
+arrays; their lines are never shuffled again or joined. Shards are probed in groups of at most `group_bytes`, so that what is
+broadcast is bounded. With more shards than fit into one group, texts are hashed once; a pass for each group reads only the hashes
+and keeps only marks of the texts that have such lines, which are joined with the documents once.
+
+Defined results: a null or empty text is one empty line and stays as it is (null: ''); rows that repeat count as documents of their
+own; an empty table gives no rows; further columns pass through, whatever their names, but for those named as the results, which
+are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, binaries, checkpoint, extended, mix64, sliced, table
+from .common import LOWER, binaries, extended, fresh, mix64, sliced, stored, table
 
 MIN_DOCS = 10
 SHARD_KEYS = 100_000
@@ -55,8 +57,8 @@ def line_hashes(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 class PerfectHash:
-    """Minimal perfect hash of distinct 64-bit keys: levels of bit arrays; a key belongs to the first level where it is
-    alone at its position, and its index is the number of bits set before it."""
+    """Minimal perfect hash of distinct 128-bit keys (rows of two integers): levels of bit arrays; a key belongs to the first level
+    where it is alone at its position, and its index is the number of bits set before it."""
 
     def __init__(self, sizes: list[int], bits: np.ndarray):
         self.sizes, self.bits = sizes, bits
@@ -67,7 +69,7 @@ class PerfectHash:
     def _at(keys: np.ndarray, level: int, size: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             seed = np.uint64((level + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        return (mix64(keys ^ seed) % np.uint64(size)).astype(np.int64)
+            return (mix64(keys[:, 0] ^ mix64(keys[:, 1] + seed)) % np.uint64(size)).astype(np.int64)
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
@@ -99,21 +101,19 @@ class PerfectHash:
 
 
 def build_shards(lines: DataFrame, n_shards: int) -> DataFrame:
-    """lines (h1, h2, n) -> one row per shard: shard, sizes, bits, prints, counts."""
+    """lines (h1, h2, n), distinct by (h1, h2) -> one row per shard: shard, sizes, bits, prints, counts."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("h1")  # two lines with 64 equal bits: the smaller fingerprint stays (2 ** -64 a pair)
-        mph = PerfectHash.build(pdf.h1.to_numpy())
-        at = mph.index(pdf.h1.to_numpy())
+        keys = pdf[["h1", "h2"]].to_numpy()
+        mph = PerfectHash.build(keys)
+        at = mph.index(keys)
         prints, counts = np.empty(len(pdf), "<i8"), np.empty(len(pdf), "<u4")
         prints[at], counts[at] = pdf.h2, np.minimum(pdf.n, 0xFFFFFFFF)
         row = (int(pdf.shard.iloc[0]), np.array(mph.sizes, "<i8").tobytes(), mph.bits.tobytes(), prints.tobytes(), counts.tobytes())
         return pd.DataFrame([row], columns=["shard", "sizes", "bits", "prints", "counts"])
 
     keyed = lines.withColumn("shard", F.pmod("h1", F.lit(n_shards)).cast("int"))
-    return keyed.groupBy("shard").applyInPandas(
-        lambda p: build(p.sort_values(["h1", "h2"])), "shard int, sizes binary, bits binary, prints binary, counts binary"
-    )
+    return keyed.groupBy("shard").applyInPandas(build, "shard int, sizes binary, bits binary, prints binary, counts binary")
 
 
 class Shards:
@@ -137,7 +137,7 @@ class Shards:
         for s, (mph, prints, counts) in self.at.items():
             own = order[edges[s] : edges[s + 1]]
             if len(own):
-                i = mph.index(h[own, 0])
+                i = mph.index(h[own])
                 ok = i >= 0
                 ok[ok] = prints[i[ok]] == h[own[ok], 1]
                 out[own[ok]] = counts[i[ok]]
@@ -161,52 +161,76 @@ def dedup_lines(
     docs: DataFrame, *, min_docs: int = MIN_DOCS, text_col: str = "text", shard_keys: int = SHARD_KEYS, group_bytes: int = GROUP_BYTES
 ) -> DataFrame:
     """docs with the lines left out whose key is in at least min_docs documents, and n_lines, n_dropped (long)."""
-    spark, others = docs.sparkSession, [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    frequent = checkpoint(line_hashes(docs, text_col).groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs))
+    sc, own = docs.sparkSession.sparkContext, [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    frequent = stored(line_hashes(docs, text_col).groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs))
     n_shards = max(1, -(-frequent.count() // shard_keys))
-    shards = checkpoint(build_shards(frequent, n_shards))
-    groups = _groups(shards, group_bytes) or [[]]
-    base = docs.select(*others, F.coalesce(F.col(text_col), F.lit("")).alias(text_col), F.lit(None).cast("binary").alias("_drop"))
-    for k, group in enumerate(groups):
-        rows = shards.where(F.col("shard").isin(group)).collect() if group else []
-        held = spark.sparkContext.broadcast([tuple(r) for r in rows])
-        base = _probed(base, text_col, held, n_shards, last=k == len(groups) - 1)
-        if k < len(groups) - 1:
-            base = checkpoint(base)
-    return base
-
-
-def _probed(base: DataFrame, text_col: str, held, n_shards: int, *, last: bool) -> DataFrame:
-    """Mark the lines found in the shards; in the last pass, drop the marked ones."""
-    schema = extended(base.drop("_drop").schema, n_lines="long", n_dropped="long") if last else base.schema
+    shards = stored(build_shards(frequent, n_shards))
+    held = [sc.broadcast([tuple(r) for r in shards.where(F.col("shard").isin(group)).collect()]) for group in _groups(shards, group_bytes) or [[]]]
+    base = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c == text_col else F.col(c) for c in own])
+    if len(held) == 1:
+        return _cut(base, text_col, n_shards, held[0])
+    key, drop = fresh("_key", own), fresh("_drop", own)
+    hashes = stored(_text_hashes(base.select(F.md5(text_col).alias("key"), text_col)))
+    marks = [_marks(hashes, n_shards, group) for group in held]
+    for more in marks[1:]:
+        marks[0] = marks[0].unionByName(more)
+    by = marks[0].groupBy("key").agg(F.collect_set("marks").alias(drop)).withColumnRenamed("key", key)
+    return _cut(base.withColumn(key, F.md5(text_col)).join(by, key, "left").select(*base.columns, drop), text_col, n_shards, marks_col=drop)
+
+
+def _text_hashes(texts: DataFrame) -> DataFrame:
+    """(key, text) -> key, hashes: of all lines in order, 16 bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            hashes = [_hashed(line_keys(t)).tobytes() for t in binaries(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], ["key", "hashes"])
+
+    return texts.mapInArrow(run, "key string, hashes binary")
+
+
+_EMPTY = np.frombuffer(xxhash.xxh3_128_digest(b""), "<i8")
+
+
+def _found(h: np.ndarray, shards: Shards) -> np.ndarray:
+    """Which lines are in the shards; an empty key is in none."""
+    return (shards.counts(h) > 0) & (h != _EMPTY).any(axis=1)
+
+
+def _marks(hashes: DataFrame, n_shards: int, held) -> DataFrame:
+    """(key, marks): one bit a line, of the texts with a line in the shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(n_shards, held.value)
         for batch in sliced(batches):
-            texts, before = binaries(batch.column(text_col)), batch.column("_drop").to_pylist()
-            keys = [line_keys(t) for t in texts]
-            flat = [k for own in keys for k in own]
-            drop = (shards.counts(_hashed(flat)) > 0) & np.fromiter(map(bool, flat), bool, len(flat))
-            kept, n_dropped, marks, at = [], [], [], 0
-            for text, own, was in zip(texts, keys, before, strict=True):
-                mark = drop[at : at + len(own)]
-                at += len(own)
-                if was is not None:
-                    mark = mark | np.unpackbits(np.frombuffer(was, np.uint8), count=len(own)).astype(bool)
-                if last:
-                    n_dropped.append(int(mark.sum()))
-                    kept.append(b"\n".join([x for x, m in zip(text.split(b"\n"), mark, strict=True) if not m]) if n_dropped[-1] else text)
-                else:
-                    marks.append(np.packbits(mark).tobytes())
-            columns = {c: batch.column(c) for c in batch.schema.names if c != "_drop"}
-            if last:
-                columns[text_col] = pa.array(kept, pa.binary()).cast(pa.string())
-                columns |= {"n_lines": pa.array([len(x) for x in keys], pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
+            each = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in batch.column(1).to_pylist()]
+            mark = np.split(_found(np.concatenate(each), shards), np.cumsum([len(x) for x in each])[:-1])
+            some = [i for i, m in enumerate(mark) if m.any()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([np.packbits(mark[i]).tobytes() for i in some], pa.binary())], ["key", "marks"])
+
+    return hashes.mapInArrow(run, "key string, marks binary")
+
+
+def _cut(base: DataFrame, text_col: str, n_shards: int, held=None, *, marks_col: str | None = None) -> DataFrame:
+    """base without the lines that are in the shards or marked, with n_lines and n_dropped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = Shards(n_shards, held.value) if held else None
+        for batch in sliced(batches):
+            texts = binaries(batch.column(text_col))
+            lines = [t.split(b"\n") for t in texts]
+            if shards:
+                flat = _found(_hashed(k for t in texts for k in line_keys(t)), shards)
+                marks = np.split(flat, np.cumsum([len(x) for x in lines])[:-1])
             else:
-                columns["_drop"] = pa.array(marks, pa.binary())
+                bits = lambda own, n: np.unpackbits(np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in own]), count=n).astype(bool) if own else np.zeros(n, bool)
+                marks = [bits(own, len(x)) for own, x in zip(batch.column(marks_col).to_pylist(), lines, strict=True)]
+            kept = [b"\n".join([x for x, m in zip(own, mark, strict=True) if not m]) if mark.any() else text for text, own, mark in zip(texts, lines, marks, strict=True)]
+            columns = {c: batch.column(c) for c in batch.schema.names if c != marks_col} | {text_col: pa.array(kept, pa.binary()).cast(pa.string())}
+            columns |= {"n_lines": pa.array([len(x) for x in lines], pa.int64()), "n_dropped": pa.array([int(m.sum()) for m in marks], pa.int64())}
             yield pa.RecordBatch.from_pydict(columns)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, extended(base.drop(marks_col).schema if marks_col else base.schema, n_lines="long", n_dropped="long"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

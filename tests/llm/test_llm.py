@@ -72,10 +72,29 @@ def test_held_out_languages(spark):
 
 
 def test_perfect_hash():
-    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, (5000, 2))
+    keys[:2000, 0] = keys[0, 0]  # keys that share one half
     assert sorted(line_dedup.PerfectHash.build(keys).index(keys)) == list(range(5000))
 
 
+@pytest.mark.parametrize("group_bytes", [line_dedup.GROUP_BYTES, 400, 1])
+def test_lines(spark, group_bytes):
+    rng = np.random.default_rng(6)
+    lines = [f" Line {i} \t" if i % 2 else f"line {i - 1}".upper() for i in range(60)] + ["", "  ", "é\u00a0", "\r"]
+    texts = [None, "", "\n", "\n" * 50, "x " * 40_000 + "\nline 1"] + ["\n".join(rng.choice(lines, rng.integers(1, 30))) for _ in range(60)]
+    texts += [texts[9]] * 12
+    docs = spark.createDataFrame([(i, t, 1, "d", 2) for i, t in enumerate(texts)], "doc_id long, text string, n_lines int, _drop string, _key int")
+    out = line_dedup.dedup_lines(docs, group_bytes=group_bytes, shard_keys=4)
+    assert out.columns == ["doc_id", "text", "_drop", "_key", "n_lines", "n_dropped"]
+    key = lambda x: x.strip(" \t\n\v\f\r").translate({c: c + 32 for c in range(65, 91)})
+    seen = collections.Counter(k for t in texts for k in {key(x) for x in (t or "").split("\n")})
+    for t, r in zip(texts, out.orderBy("doc_id").collect(), strict=True):
+        own = (t or "").split("\n")
+        kept = [x for x in own if not key(x) or seen[key(x)] < 10]
+        assert (r.text, r.n_lines, r.n_dropped, r._drop) == ("\n".join(kept), len(own), len(own) - len(kept), "d")
+    assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
+
+
 def _without_repeats(texts):
     """By counting all windows."""
     seen = collections.Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
