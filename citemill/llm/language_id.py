@@ -1,12 +1,14 @@
 """Hierarchical language identification with linear support vector machines.
 
 A text is a vector of hashed byte 1- to 4-grams over its letters. Linear SVMs first choose the language family, then
-one-versus-one SVMs choose among the family's languages. They are fitted on the driver, on the features of at most
-`max_train` labelled texts: those with the smallest hash of their key. Prediction is one pass without a shuffle.
+one-versus-one SVMs choose among the family's languages. They are fitted on the driver, on the features of at most `max_train`
+distinct labelled texts, as many of each language: those with the smallest hash of their key and text. The MAX_LANGS most frequent
+languages are learned. Prediction is one pass without a shuffle.
 
 Defined results: a text that is null or has no letters is `und` with score 0; with no labelled text at all everything is
 `und` with score 0; a language learned alone is predicted for every text with letters, with score 1; ties of votes go to
-the larger sum of margins, then to the smaller name; further columns pass through.
+the larger sum of margins, then to the smaller name; labelled rows that repeat are learned once; an empty table gives no rows;
+further columns pass through, but for those named as the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import binaries, extended, sliced, table
 
@@ -32,6 +35,7 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 MAX_TRAIN = 4000
+MAX_LANGS = 200
 DIM = 1 << 12
 #: ASCII letters in lower case, other ASCII as spaces, the rest as it is.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -56,16 +60,23 @@ def features(text: bytes) -> np.ndarray:
     return (out / (np.linalg.norm(out) or 1)).astype(np.float32)
 
 
-def fit_svm(xa: np.ndarray, xb: np.ndarray, *, c: float = 1000.0, rounds: int = 150) -> tuple[np.ndarray, float]:
-    """A linear SVM of class a against class b, with squared hinge loss, weighted alike. By accelerated gradient descent, in 32 bits."""
+def fit_svm(xa: np.ndarray, xb: np.ndarray, *, c: float = 1000.0, rounds: int = 600, tolerance: float = 1e-3) -> tuple[np.ndarray, float]:
+    """A linear SVM of class a against class b, with squared hinge loss, weighted alike. By accelerated gradient descent, in 32 bits,
+    until the gradient is `tolerance` of the first one, or for so many rounds."""
     y = np.repeat(np.array([1, -1], np.float32), [len(xa), len(xb)])
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32) * np.float32(c)
     w = v = np.zeros(xa.shape[1], np.float32)
     bias = b = np.float32(0)
     step = np.float32(1 / (1 + 4 * float(weight.sum())))
+    first = 0.0
     for k in range(rounds):
         slope = weight * y * np.maximum(np.float32(0), 1 - y * (np.concatenate([xa @ v, xb @ v]) + b)) * np.float32(2)
-        new_w, new_b = v - step * (v - slope[: len(xa)] @ xa - slope[len(xa) :] @ xb), b + step * slope.sum()
+        gradient, along = v - slope[: len(xa)] @ xa - slope[len(xa) :] @ xb, -slope.sum()
+        size = float(np.linalg.norm(gradient)) + abs(float(along))
+        first = first or size
+        if size <= tolerance * first:
+            break
+        new_w, new_b = v - step * gradient, b - step * along
         ahead = np.float32(k / (k + 3))
         v, b = new_w + ahead * (new_w - w), new_b + ahead * (new_b - bias)
         w, bias = new_w, new_b
@@ -117,24 +128,38 @@ class Hierarchy:
         return lang, float(sure * surer)
 
 
-def fit(labelled: DataFrame, *, key: Column, text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN) -> Hierarchy:
-    """labelled: the rows that may be learned from. At most max_train of them are, those of the smallest hash of `key`."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).withColumn("_h", F.xxhash64(key))
-    last = rows.select("_h").orderBy("_h").limit(max_train).agg(F.max("_h")).first()[0]
-    if last is None:
+def sample(labelled: DataFrame, key: Column, *, text_col: str = "text", lang_col: str = "lang", max_train: int = MAX_TRAIN, max_langs: int = MAX_LANGS) -> DataFrame | None:
+    """(text, lang): distinct labelled texts, at most max_train and as many of each of the max_langs most frequent languages.
+
+    Rows are first cut by a bound on their hash that lets some twice as many through, so that what is then grouped and ordered is
+    bounded whatever the size of a language.
+    """
+    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(key, F.col(text_col)).alias("h"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    if not counts:
+        return None
+    quota = max(1, max_train // len(counts))
+    cuts = [(r.lang, int(-(2**63) + min(1.0, (2 * quota + 50) / r.n) * (2**64 - 1025))) for r in counts]
+    bounds = labelled.sparkSession.createDataFrame(cuts, "lang string, cut long")  # at most max_langs rows
+    few = rows.join(F.broadcast(bounds), "lang").where("h <= cut").groupBy("lang", "h").agg(F.first("text").alias("text"))
+    return few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= quota).select("text", "lang", "h")
+
+
+def fit(labelled: DataFrame, *, key: Column, **options) -> Hierarchy:
+    """labelled: the rows that may be learned from; options as of sample()."""
+    rows = sample(labelled, key, **options)
+    if rows is None:
         return Hierarchy(np.zeros((0, DIM), np.float32), [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             x = [features(t).astype(np.float16).tobytes() for t in binaries(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), *batch.columns[1:]], ["x", "lang", "_h"])
-
-    sample = rows.where(F.col("_h") <= last).select(text_col, F.col(lang_col).alias("lang"), "_h")
-    got = sample.mapInArrow(run, "x binary, lang string, _h long").toArrow().to_pydict()
-    chosen = sorted(range(len(got["lang"])), key=lambda i: (got["_h"][i], got["lang"][i], got["x"][i]))[:max_train]
-    chosen.sort(key=lambda i: (FAMILY_OF.get(got["lang"][i], got["lang"][i]), got["lang"][i]))
-    langs, x = [got["lang"][i] for i in chosen], np.empty((len(chosen), DIM), np.float32)
-    for row, i in enumerate(chosen):
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), *batch.columns[1:]], ["x", "lang", "h"])
+
+    got = rows.mapInArrow(run, "x binary, lang string, h long").toArrow().to_pydict()
+    order = sorted(range(len(got["lang"])), key=lambda i: (FAMILY_OF.get(got["lang"][i], got["lang"][i]), got["lang"][i], got["h"][i]))
+    langs, x = [got["lang"][i] for i in order], np.empty((len(order), DIM), np.float32)
+    for row, i in enumerate(order):
         x[row] = np.frombuffer(got["x"][i], np.float16)
     del got
     return Hierarchy(x, langs)

@@ -71,6 +71,22 @@ def test_held_out_languages(spark):
     assert np.mean([got[r.doc_id].lang_pred == r.lang for r in rows]) > 0.9
 
 
+def test_languages_are_learned_alike(spark):
+    """A language with one text in hundreds, one id and text repeated many times, rows without text or language."""
+    say = {"de": "der und die nicht ein Wort", "en": "the and that is a word", "fr": "le et la une pas du mot"}
+    rows = [(7, say["en"], "en", "x")] * 2000 + [(i, f"{say['en']} {i}", "en", "x") for i in range(1500)] + [(i, f"{say['de']} {i}", "de", "x") for i in range(300)]
+    rows += [(5, f"{say['fr']} {c}", "fr", "x") for c in "abc"] + [(8, None, "en", "x"), (9, "text", None, "x"), (None, "", "de", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
+    got = collections.Counter(r.lang for r in language_id.sample(docs, docs.doc_id, max_train=600).collect())
+    assert got["de"] == 200 and got["fr"] == 3 and 150 <= got["en"] <= 200  # repeats take room before they go
+    model = language_id.fit(docs, key=docs.doc_id, max_train=600)
+    asked = spark.createDataFrame([(1, "le mot et la", "x"), (2, "das Wort ist nicht die", "x"), (3, "the word that is", "x"), (4, "123 !", "x"), (5, None, "x"), (6, "", "x")], "doc_id long, text string, Score string")
+    out = language_id.predict(asked, model)
+    assert out.columns == ["doc_id", "text", "lang_pred", "score"]
+    pred = {r.doc_id: (r.lang_pred, r.score) for r in out.collect()}
+    assert [pred[i][0] for i in range(1, 7)] == ["fr", "de", "en", "und", "und", "und"] and pred[4][1] == 0 < pred[1][1] <= 1
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, (5000, 2))
     keys[:2000, 0] = keys[0, 0]  # keys that share one half
