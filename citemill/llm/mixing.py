@@ -2,22 +2,28 @@
 
 Tokens are summed by cell (source, language, topic). Cell weights are raked in turn to the targets of each marginal until the
 largest deviation falls below `tolerance`; then each cell's documents are sampled with a calibrated probability, and carry the
-weight that makes up for probabilities cut at 1. Targets are the corpus's own shares to the power `temper`, scaled to 1.
+weight that makes up for probabilities cut at 1. Targets are given by marginal, as weights of its values; a marginal without them
+has the corpus's own shares to the power `temper`. Texts are split into words once; what that gives is stored.
 
 The table of cells has one row per combination that occurs; it is raked in one partition and broadcast only up to MAX_CELLS rows,
-beyond that by exchanges and a join.
+beyond that by exchanges and a join. Targets that no weights of the cells meet (those of values that never occur together) don't
+converge: after MAX_ROUNDS the deviation is given as a warning, or as an error where `strict` is set.
 
-Defined results: a null source, language or topic is a value of its own; a null text has no tokens and topic `short`; cells
-without tokens have probability 0; rows that repeat share their fate (it depends on doc_id and seed alone); an empty table gives no rows.
+Defined results: a null source, language or topic is a value of its own (None among the targets); a value that the targets of its
+marginal don't name has weight 0, and a target whose value doesn't occur is left out; a null text has no tokens and topic `short`;
+cells without tokens have probability 0; rows that repeat share their fate (it depends on doc_id and seed alone); an empty table
+gives no rows; further columns pass through, whatever their names, but for those named as the results, which are replaced.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, checkpoint, table, word_array
+from .common import WORD, fresh, stored, table, word_array
 
 DIMS = ("source", "lang", "topic")
 TEMPER = 0.5
@@ -42,46 +48,62 @@ def topic(text: Column, tokens: Column) -> Column:
     )
 
 
-def weighed(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """docs with tokens (long) and, unless there is one, topic; the marginals without nulls as m_<name>."""
-    tokens = F.size(word_array(F.col(text_col))).cast("long")
-    out = docs.withColumn("tokens", tokens)
+def weighed(docs: DataFrame, names: dict[str, str], *, text_col: str = "text") -> DataFrame:
+    """docs with tokens (long) and, unless there is one, topic; the marginals without nulls under their names."""
+    out = docs.withColumn("tokens", F.size(word_array(F.col(text_col))).cast("long"))
     if "topic" not in out.columns:
         out = out.withColumn("topic", topic(F.col(text_col), F.col("tokens")))
-    return out.withColumns({f"m_{d}": F.coalesce(F.col(d), F.lit(NULL)) for d in DIMS})
+    return out.withColumns({name: F.coalesce(F.col(d).cast("string"), F.lit(NULL)) for d, name in names.items()})
 
 
-def rake(cells: DataFrame, dims: list[str], *, temper: float = TEMPER, tolerance: float = TOLERANCE, one_part: bool = True) -> DataFrame:
-    """cells (dims, tokens) with share (double): the raked share of each cell."""
+def rake(cells: DataFrame, dims: list[str], *, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, tolerance: float = TOLERANCE, one_part: bool = True, strict: bool = False) -> DataFrame:
+    """cells (dims, tokens) with share (double): the raked share of each cell. targets: weights by value, of some dims."""
     over = {d: Window.partitionBy(d) for d in dims}
-    everything = Window.partitionBy(F.lit(1))
     df = cells.where("tokens > 0")
     df = df.coalesce(1) if one_part else df
     for d in dims:
-        df = df.withColumn(f"t_{d}", F.pow(F.sum("tokens").over(over[d]).cast("double"), F.lit(temper))).withColumn(f"n_{d}", F.count("*").over(over[d]))
-    for d in dims:
-        df = df.withColumn(f"t_{d}", F.col(f"t_{d}") / F.sum(F.col(f"t_{d}") / F.col(f"n_{d}")).over(everything)).drop(f"n_{d}")
-    df = checkpoint(df.withColumn("share", F.col("tokens").cast("double")))
+        own = (targets or {}).get(d)
+        if own is None:
+            weight = lambda sums: F.pow(sums.cast("double"), F.lit(temper))
+        else:
+            pairs = F.create_map(*[F.lit(x) for value, w in own.items() for x in (NULL if value is None else value, float(w))])
+            weight = lambda sums, pairs=pairs, d=d: F.coalesce(F.element_at(pairs, F.col(d)), F.lit(0.0))
+        total = df.groupBy(d).agg(F.sum("tokens").alias("s")).agg(F.sum(weight(F.col("s")))).first()[0]
+        if total is not None and not total > 0:
+            raise ValueError(f"no value of {d} that occurs has a target")
+        df = df.withColumn(f"t_{d}", weight(F.sum("tokens").over(over[d])) / F.lit(total or 1.0))
+    df = stored(df.withColumn("share", F.col("tokens").cast("double")))
+    worst = 0.0
     for _ in range(0, MAX_ROUNDS, ROUNDS_AT_ONCE):
         for _ in range(ROUNDS_AT_ONCE):
             for d in dims:
-                df = df.withColumn("share", F.col("share") * F.col(f"t_{d}") / F.sum("share").over(over[d]))
-        df = checkpoint(df)
+                df = df.withColumn("share", F.coalesce(F.try_divide(F.col("share") * F.col(f"t_{d}"), F.sum("share").over(over[d])), F.lit(0.0)))
+        df = stored(df.coalesce(1) if one_part else df)
         off = [F.max(F.abs(F.col(f"s_{d}") - F.col(f"t_{d}"))).alias(d) for d in dims]
-        worst = df.withColumns({f"s_{d}": F.sum("share").over(over[d]) for d in dims}).agg(*off).first()
-        if all((x or 0) < tolerance for x in worst):
+        worst = max(x or 0 for x in df.withColumns({f"s_{d}": F.sum("share").over(over[d]) for d in dims}).agg(*off).first())
+        if worst < tolerance:
             break
+    else:
+        said = f"after {MAX_ROUNDS} rounds a share is {worst:.3g} off its target: the targets can't all be met, or not so closely"
+        if strict:
+            raise ValueError(said)
+        warnings.warn(said, RuntimeWarning, stacklevel=2)
     return df.drop(*[f"t_{d}" for d in dims])
 
 
-def mixed(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", keep: float = KEEP, temper: float = TEMPER, seed: str = SEED, text_out: bool = False) -> DataFrame:
-    """docs with tokens, topic, probability, weight (double) and sampled (boolean)."""
-    full = weighed(docs.drop("tokens", "probability", "weight", "sampled"), text_col=text_col)
-    full = full if text_out else full.drop(text_col)
-    dims = [f"m_{d}" for d in DIMS]
-    cells = checkpoint(full.groupBy(*dims).agg(F.sum("tokens").alias("tokens")))
+def mixed(docs: DataFrame, *, targets: dict[str, dict[str | None, float]] | None = None, doc_id: str = "doc_id", text_col: str = "text", keep: float = KEEP, temper: float = TEMPER, seed: str = SEED, text_out: bool = False, strict: bool = False) -> DataFrame:
+    """docs with tokens, topic, probability, weight (double) and sampled (boolean). targets: by marginal (source, lang, topic), the
+    weight of each value; keep: the share of all tokens to sample."""
+    if unknown := set(targets or {}) - set(DIMS):
+        raise ValueError(f"no such marginals: {sorted(unknown)}")
+    own = [c for c in docs.columns if c.lower() not in ("tokens", "probability", "weight", "sampled")]
+    names = {d: fresh(f"m_{d}", own) for d in DIMS}
+    full = weighed(docs.select(*own), names, text_col=text_col)
+    full = stored(full if text_out else full.drop(text_col))
+    dims = list(names.values())
+    cells = stored(full.groupBy(*dims).agg(F.sum("tokens").alias("tokens")))
     few = cells.count() <= MAX_CELLS
-    shares = rake(cells, dims, temper=temper, one_part=few)
+    shares = rake(cells, dims, targets={names[d]: own for d, own in (targets or {}).items()}, temper=temper, one_part=few, strict=strict)
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     ratio = F.lit(keep * total) * F.col("share") / F.col("tokens")
     plan = shares.select(*dims, F.least(ratio, F.lit(1.0)).alias("probability"), F.greatest(ratio, F.lit(1.0)).alias("weight"))
