@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps; its result is written as Parquet and read again as
 the next one's docs. All but the last return the columns of documents.
+
+Defined results: documents without letters go in the first stage, null and empty texts among them; a null doc_id is held out of
+the language model, the least id of its class only where there is no other, and sampled by the empty string; rows that repeat are
+one from the third stage on; an empty table stays empty; of columns beyond those of documents, those named as the last stage's
+results are replaced.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citemill.llm import decontaminate, language_id, line_dedup, mixing, near_dedup
-from citemill.llm.common import stored, table
+from citemill.llm.common import freed, stored, table
 
 #: Language ID rejects a text without letters and one whose score falls below this.
 LEAST_SCORE = 0.25
@@ -36,9 +41,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage beyond the coverage limit."""
+    """Documents that hold no benchmark passage beyond the coverage limit, without the passages that reach the length limit;
+    n_chars follows the text."""
     judged = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"))
-    return judged.where(~F.col("contaminated")).select(*docs.columns)
+    cut = decontaminate.without_spans(judged.where(~F.col("contaminated")))
+    n_chars = F.when(F.col("n_hit") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +69,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        last, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs)
+            if k:
+                freed(last)
     return docs
