@@ -13,7 +13,7 @@ from .mixing import OP6_SQL, op6_mixing
 from .near_dedup import op10_near_dedup
 from .pii import op1_pii
 from .repeats import op9_repeats
-from .url_filter import op5_url_filter
+from .url_filter import URL_RULES_SQL, op5_url_filter, url_rules
 
 _QUERIES = [
     op1_pii,
@@ -26,8 +26,9 @@ _QUERIES = [
     op8_license_scan,
     op9_repeats,
     op10_near_dedup,
+    url_rules,
 ]
-_SQL = {"op2_decontaminate": OP2_SQL, "op6_mixing": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_license_scan": OP8_SQL}
+_SQL = {"op2_decontaminate": OP2_SQL, "op6_mixing": OP6_SQL, "op7_line_dedup": OP7_SQL, "op8_license_scan": OP8_SQL, "url_rules": URL_RULES_SQL}
 
 
 def queries() -> dict:

@@ -1,11 +1,14 @@
 """URL filters: rules, and gradient-boosted trees on lexical features where no rule fits, in DataFrame functions only.
 
-Labelled URLs are those that rules judge and those whose hosts carry known words. Trees are grown level by level from histograms of gradients: one grouped aggregation per level over binned features, at most
-(leaves x features x bins) rows of which come to the driver. They are trained on at most MAX_TRAIN labelled URLs, those with the
-smallest hashes, and become one column expression.
-
-Defined results: a null URL, or one without `://`, has an empty host and path; with no labelled URL every verdict without a rule
-is allow; rows that repeat are judged alike; an empty table gives no rows; further columns pass through judge().
+Labelled URLs are given (url, block); by default they are those that rules judge and those whose hosts carry known words. Trees are
+trained on at most MAX_TRAIN distinct labelled URLs, those with the smallest hashes, and grown level by level from histograms of
+gradients: one grouped aggregation a level over binned features, at most (leaves x features x bins) rows of which come to the
+driver. They become one column expression. The suffix statistic is the rate of blocked URLs under a host's last label; the
+MAX_SUFFIXES most frequent labels have their own, all others the rate of all.
+
+Defined results: a null URL, or one without `://`, has an empty host and path; with no labelled URL every verdict without a rule is
+allow; a URL labelled both ways counts as blocked; rows that repeat are judged alike and learned once; an empty table gives no rows;
+further columns pass through judge(), whatever their names, but for those named as the results, which are replaced.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, table
+from .common import stored, table
 
 #: (rule, verdict): host and path; the longest that fits wins.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -101,14 +104,18 @@ class Boosted:
         return sum((self.value(t) for t in self.trees), F.lit(self.start))
 
 
-def fit(labelled: DataFrame, *, max_train: int = MAX_TRAIN) -> Boosted | None:
-    """labelled: with_features() and block (boolean). None without rows."""
-    rows = labelled.withColumn("_h", F.xxhash64("url"))
-    last = rows.select("_h").orderBy("_h").limit(max_train).agg(F.max("_h")).first()[0]
-    if last is None:
-        return None
-    sample = checkpoint(rows.where(F.col("_h") <= last).select(*[f for f in FEATURES if f != "suffix_rate"], "suffix", F.col("block").cast("int").alias("y")))
+def learned_from(labelled: DataFrame, rules: list[tuple[str, str]] = RULES, max_train: int = MAX_TRAIN) -> DataFrame:
+    """labelled (url, block) -> features and y of at most max_train distinct URLs, as a stored table."""
+    each = labelled.where("url IS NOT NULL AND block IS NOT NULL").groupBy("url").agg(F.max(F.col("block").cast("int")).alias("y"))
+    some = each.orderBy(F.xxhash64("url"), "url").limit(max_train)
+    return stored(with_features(by_rules(some, rules)).select(*[f for f in FEATURES if f != "suffix_rate"], "suffix", "y"))
+
+
+def fit(sample: DataFrame) -> Boosted | None:
+    """sample: as of learned_from(). None without rows."""
     n, blocked = sample.agg(F.count("*"), F.sum("y")).first()
+    if not n:
+        return None
     prior = (blocked + 1) / (n + 2)
     by = sample.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("y")).orderBy(F.desc("n"), "suffix").limit(MAX_SUFFIXES).collect()
     model = Boosted({r.suffix: (r.y + 2 * prior) / (r.n + 2) for r in by}, prior, {}, log(prior / (1 - prior)))
@@ -117,7 +124,7 @@ def fit(labelled: DataFrame, *, max_train: int = MAX_TRAIN) -> Boosted | None:
     model.edges = {f: sorted(set(found[f])) for f in FEATURES}
     bins = [f"b_{f}" for f in FEATURES]
     # Rows that fall into the same bins are one row with a count.
-    counted = checkpoint(model.binned(sample).groupBy(*bins, "y").agg(F.count("*").cast("double").alias("n")).coalesce(4))
+    counted = stored(model.binned(sample).groupBy(*bins, "y").agg(F.count("*").cast("double").alias("n")).coalesce(4))
     for _ in range(TREES):
         p = 1 / (1 + F.exp(-model.score()))
         scored = counted.withColumns({"g": F.col("n") * (p - F.col("y")), "h": F.col("n") * p * (1 - p)})
@@ -150,7 +157,7 @@ def _grown(scored: DataFrame):
                 for _, b, rg, rh in [r for r in mine if r[0] == f][:-1]:
                     gl, hl = gl + rg, hl + rh
                     gain = gl * gl / (hl + L2) + (g - gl) ** 2 / (h - hl + L2) - g * g / (h + L2)
-                    if gain > best[0] + 1e-12:
+                    if gain > best[0] + 1e-9:
                         best = (gain, (f, b, gl, hl))
             if best[1]:
                 f, b, gl, hl = best[1]
@@ -166,23 +173,40 @@ def _grown(scored: DataFrame):
     return closed(root)
 
 
-def judge(pages: DataFrame, *, rules: list[tuple[str, str]] = RULES, labelled: DataFrame | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
-    """pages with host, path, rule, verdict and score (double, of block). Labelled URLs (url, block) are, unless given, those the
-    rules judge and those whose host has one of BLOCK_WORDS or begins with one of ALLOW_LABELS."""
-    full = with_features(by_rules(pages, rules))
-    parts = F.split("host", "[.-]")
+def known_words(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
+    """(url, block) of the URLs that the rules judge, or whose host has one of BLOCK_WORDS or begins with one of ALLOW_LABELS."""
+    full, parts = by_rules(pages.select("url"), rules), F.split("host", "[.-]")
     marked = F.when(F.arrays_overlap(parts, F.array(*map(F.lit, BLOCK_WORDS))), True).when(F.get(parts, F.lit(0)).isin(ALLOW_LABELS), False)
-    known = full.withColumn("block", F.coalesce(F.col("rule_verdict") == "block", marked)).where("block IS NOT NULL")
-    if labelled is not None:
-        known = with_features(by_rules(labelled, rules))
-    model = fit(known, max_train=max_train)
-    if model is None:
-        score = F.lit(0.0)
-    else:
+    return full.select("url", F.coalesce(F.col("rule_verdict") == "block", marked).alias("block"))
+
+
+def judge(pages: DataFrame, *, rules: list[tuple[str, str]] = RULES, labelled: DataFrame | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
+    """pages with host, path, rule, verdict and score (double, of block). labelled (url, block): known_words() unless given."""
+    results = ("host", "path", "rule", "verdict", "score")
+    own = [c for c in pages.columns if c.lower() not in results]
+    model = fit(learned_from(known_words(pages, rules) if labelled is None else labelled, rules, max_train))
+    # The caller's columns travel in one of their own, so that no name of theirs meets a feature's.
+    full = with_features(by_rules(pages.select(F.struct(*own).alias("_row"), "url"), rules))
+    score = F.lit(0.0)
+    if model is not None:
         full, score = model.binned(full), 1 / (1 + F.exp(-model.score()))
     verdict = F.coalesce("rule_verdict", F.when(score >= 0.5, "block").otherwise("allow"))
-    return full.select(*pages.columns, "host", "path", "rule", verdict.alias("verdict"), F.round(score, 9).alias("score"))
+    return full.select(*[F.col("_row")[c].alias(c) for c in own], "host", "path", "rule", verdict.alias("verdict"), F.round(score, 9).alias("score"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op5_url_filter SQL can express."""
+    return op5_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+
+
+_CASES = [(r, v, r[: r.index("/")], r[r.index("/") :]) for r, v in sorted(RULES, key=lambda x: -len(x[0]))]
+_CASE_SQL = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{{k}}}'" for k, (_, _, h, p) in enumerate(_CASES))
+URL_RULES_SQL = rf"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+     p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+SELECT page_id, host, path, CASE {_CASE_SQL.format(*[c[0] for c in _CASES])} END AS rule, CASE {_CASE_SQL.format(*[c[1] for c in _CASES])} END AS rule_verdict FROM p
+"""
