@@ -12,16 +12,16 @@ def words(text):
     return re.findall("[a-z0-9]+", (text or "").lower())
 
 
-def brute(docs, items, window=13):
+def brute(docs, items, window=13, find=words):
     """(n_words, hit words, items) of each text."""
     grams = {}
     for name, text in items:
-        w = words(text)
+        w = find(text or "")
         n = min(window, len(w))
         for i in range(len(w) - n + 1 if w else 0):
             grams.setdefault(tuple(w[i : i + n]), set()).add(name)
     for text in docs:
-        w, hit, found = words(text), set(), set()
+        w, hit, found = find(text or ""), set(), set()
         for n in {len(g) for g in grams}:
             for i in range(len(w) - n + 1):
                 if tuple(w[i : i + n]) in grams:
