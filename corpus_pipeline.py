@@ -51,7 +51,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled documents, with topic, tokens, probability and weight."""
-    return mixing.mixed(docs, text_out=True).where("sampled").drop("sampled").select(*docs.columns, "tokens", "topic", "probability", "weight")
+    results = ["tokens", "topic", "probability", "weight"]
+    out = mixing.mixed(docs, text_out=True).where("sampled")
+    return out.select(*[c for c in docs.columns if c.lower() not in results], *results)
 
 
 STAGES = [
