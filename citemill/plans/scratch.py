@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of small tables that one task writes.
+ROWS_A_TASK = 200_000
+
+
 def ensure_checkpoints(spark: SparkSession) -> str:
     """The shared folder that the session names. One of our own only in local mode, where it is unset; on a cluster that is an error."""
     sc = spark.sparkContext
@@ -66,22 +70,25 @@ def components(edges: DataFrame, name: str = "root") -> DataFrame:
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     edges = stored(edges.where("a <> b").select(*ordered).distinct())
     steps: list[DataFrame] = []
-    while not steps or not edges.isEmpty():
+    while not steps or left:
+        left = edges.count()
+        few = 1 + left // ROWS_A_TASK  # later rounds have few edges: no more tasks and files than they need
         ends = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(edges.select("b", "a"))
-        step = stored(ends.groupBy("node").agg(F.min("near").alias("near")).select("node", F.least("node", "near").alias("root")))
+        step = stored(ends.groupBy("node").agg(F.min("near").alias("near")).select("node", F.least("node", "near").alias("root")).coalesce(few))
         steps.append(step)
         renamed = edges
         for c in ("a", "b"):
             renamed = renamed.join(step.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")), c)
-        left = stored(renamed.where("a_root <> b_root").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).select(*ordered).distinct())
+        fewer = stored(renamed.where("a_root <> b_root").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).select(*ordered).distinct().coalesce(few))
         freed(edges)
-        edges = left
+        edges = fewer
+        left = edges.count()
     freed(edges)
     labels = steps.pop()
     while steps:
         far = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
         step = steps.pop()
-        named = stored(step.join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root")))
+        named = stored(step.join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root")).coalesce(1 + step.count() // ROWS_A_TASK))
         freed(labels, step)
         labels = named
     return _renamed(labels, name)
