@@ -68,11 +68,16 @@ def cap_standards(reporters: DataFrame) -> DataFrame:
 
 
 def fuzzy_matches(abbrs: DataFrame, standards: DataFrame) -> DataFrame:
-    """The best standards for each abbreviation. standards is the reporter dimension, a table of some hundred rows; every pair
-    is scored, as the feature asks."""
+    """The best standards for each abbreviation. A score of LEAST_SCORE needs a common character, or an empty spelling, which is
+    the beginning of any other: only such pairs are made and scored, each once."""
     a = abbrs.select("reporter_abbr", normalize_reporter(F.col("reporter_abbr")).alias("a"))
     b = standards.select("reporter_standard", normalize_reporter(F.col("reporter_standard")).alias("b"))
-    scored = a.crossJoin(b).withColumn("score", match_score(F.col("a"), F.col("b"))).where(F.col("score") >= LEAST_SCORE)
+    none, empty = F.lit("\n"), F.lit("")  # the mark of an empty standard, and that of an empty abbreviation
+    chars = lambda c: F.array_remove(F.array_distinct(F.split(c, "")), "")
+    left = a.select("a", F.explode(F.concat(chars(F.col("a")), F.array(none), F.when(F.col("a") == "", F.array(empty)).otherwise(F.array().cast("array<string>")))).alias("char")).distinct()
+    right = b.select("b", F.explode(F.when(F.col("b") == "", F.array(none, empty)).otherwise(F.concat(chars(F.col("b")), F.array(empty)))).alias("char")).distinct()
+    near = left.join(right, "char").select("a", "b").distinct()
+    scored = near.withColumn("score", match_score(F.col("a"), F.col("b"))).where(F.col("score") >= LEAST_SCORE).join(a, "a").join(b, "b")
     best = Window.partitionBy("reporter_abbr").orderBy(F.desc("score"), "reporter_standard")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= MATCHES).select("reporter_abbr", "reporter_standard", "score", "rank")
 

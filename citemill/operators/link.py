@@ -95,12 +95,28 @@ def volume_forms(volume: Column, single_vol: Column) -> Column:
 def link(unlinked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternates: DataFrame, known: DataFrame) -> DataFrame:
     """citation_id, status, match_tier, cap_case_id, code_reporter_id, er_case_id, cite_cleaned, cite_normalized, cite_linked.
 
-    Every citation is exploded into its probes once; one join with the unified lookup finds all hits, of which the least in
-    (form, step, spelling) wins.
+    Citations of one volume, spelling and page have one fate, which is found once and joined with them.
     """
-    gated = unlinked.select("id", "volume", "reporter_abbr", "page").join(entries, F.col("reporter_abbr") == F.col("reporter_found"), "left")
+    key = ["volume", "reporter_abbr", "page"]
+    of = resolved(unlinked.select(*key).distinct(), entries, diffvols, alternates, known)
+    own = unlinked.select(F.col("id").alias("citation_id"), *key)
+    return own.join(of, reduce(Column.__and__, [own[k].eqNullSafe(of[k]) for k in key])).drop(*key)
+
+
+def by_cite(known: DataFrame) -> DataFrame:
+    """The lookups (source, cite, ref), one row for each cite: cite, cap, freelaw, code, er."""
+    return known.groupBy("cite").agg(*[F.min(F.when(F.col("source") == s, F.col("ref"))).alias(s) for s in ("cap", "freelaw", "code", "er")])
+
+
+def resolved(asked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternates: DataFrame, known: DataFrame) -> DataFrame:
+    """asked (volume, reporter_abbr, page), distinct -> the same with the columns of link().
+
+    Each is exploded into one probe for each string that may stand for it; one join with the lookups by cite finds all hits, of
+    which the least in (form, step, spelling) wins.
+    """
+    gated = asked.join(entries, F.col("reporter_abbr") == F.col("reporter_found"), "left")
     skipped = gated.where("reporter_found IS NULL OR junk").select(
-        F.col("id").alias("citation_id"), F.when(F.col("reporter_found").isNull(), "skipped_not_whitelisted").otherwise("skipped_junk").alias("status")
+        "volume", "reporter_abbr", "page", F.when(F.col("reporter_found").isNull(), "skipped_not_whitelisted").otherwise("skipped_junk").alias("status")
     )
     vols = diffvol_map(diffvols)
     open_ = gated.where("NOT junk").join(alternates, "reporter_standard", "left").withColumn("alts", F.coalesce("alts", F.array().cast("array<string>")))
@@ -116,34 +132,33 @@ def link(unlinked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternate
         clean_cite(F.col("volume"), F.coalesce("reporter_cap", "reporter_standard"), page)
     )
     form = form.withColumns({"cleaned": cleaned, "normalized": F.when(F.col("uk"), cleaned).otherwise(cap)})
-    probe = lambda step, alt, cite: F.struct(F.lit(step).alias("step"), alt.alias("alt"), cite.alias("cite"))
-    spelled = lambda step: F.transform("alts", lambda a, i: probe(step, i, clean_cite(F.col("volume"), a, F.col("page"))))
+    # Kinds of probes: 0 the normalized cite, 1 the cleaned one, 2 the other spellings.
+    probe = lambda kind, alt, cite: F.struct(F.lit(kind).alias("kind"), alt.alias("alt"), cite.alias("cite"))
     none = F.lit(0)
-    us = F.concat(
-        F.array(*[probe(s, none, F.col("normalized")) for s in (1, 2)], probe(5, none, F.col("cleaned"))), *[spelled(s) for s in (3, 4, 6)]
-    )
-    probes = form.withColumn("p", F.explode(F.when(F.col("uk"), F.array(probe(7, none, F.col("cleaned")))).otherwise(us))).select(
-        "id", "uk", "form", "detected", "cap_different", "cap_vol", "cleaned", "normalized", "p.step", "p.alt", "p.cite"
+    us = F.concat(F.array(probe(0, none, F.col("normalized")), probe(1, none, F.col("cleaned"))), F.transform("alts", lambda a, i: probe(2, i, clean_cite(F.col("volume"), a, F.col("page")))))
+    probes = form.withColumn("p", F.explode(F.when(F.col("uk"), F.array(probe(1, none, F.col("cleaned")))).otherwise(us))).select(
+        "detected", "reporter_abbr", "page", "uk", "form", "cap_different", "cap_vol", "cleaned", "normalized", "p.kind", "p.alt", "p.cite"
     )
-    source = F.lit(None).cast("string")
-    for s, (name, _, _) in STEPS.items():
-        source = F.when(F.col("step") == s, name).otherwise(source)
     keys = known.select((F.col("source") == "er").alias("uk"), cite_volume(F.col("cite")).alias("key_volume"), cite_reporter(F.col("cite")).alias("key_reporter")).where("key_reporter IS NOT NULL").distinct()
-    by_reporter = keys.select("uk", "key_reporter").distinct().withColumn("has_reporter", F.lit(True))
-    by_volume = keys.withColumn("has_volume", F.lit(True))
+    # One row for each reporter: whether it is known at all, and its volumes.
+    volumes = keys.groupBy("uk", "key_reporter").agg(F.collect_set("key_volume").alias("volumes"))
     seen = (
-        probes.withColumns({"source": source, "key_volume": cite_volume(F.col("cite")), "key_reporter": cite_reporter(F.col("cite"))})
-        .join(known, ["source", "cite"], "left")
-        .join(by_reporter, ["uk", "key_reporter"], "left")
-        .join(by_volume, ["uk", "key_volume", "key_reporter"], "left")
+        probes.withColumns({"key_volume": cite_volume(F.col("cite")), "key_reporter": cite_reporter(F.col("cite"))})
+        .join(by_cite(known), "cite", "left")
+        .join(volumes, ["uk", "key_reporter"], "left")
     )
+    step = ref = F.lit(None)
+    for s, (source, kind, uk) in reversed({1: ("cap", 0, False), 2: ("freelaw", 0, False), 3: ("cap", 2, False), 4: ("freelaw", 2, False), 5: ("code", 1, False), 6: ("code", 2, False), 7: ("er", 1, True)}.items()):
+        hit = (F.col("kind") == kind) & (F.col("uk") == uk) & F.col(source).isNotNull()
+        step, ref = F.when(hit, F.lit(s)).otherwise(step), F.when(hit, F.col(source)).otherwise(ref)
+    seen = seen.withColumns({"step": step.cast("int"), "ref": ref.cast("string")})
     rank = F.when(F.col("ref").isNotNull(), F.struct("form", "step", "alt", "cite", "ref"))
     first = F.col("form") == 0
-    out = seen.groupBy("id").agg(
+    out = seen.groupBy("detected", "reporter_abbr", "page").agg(
         F.min(rank).alias("hit"),
         F.first("uk").alias("uk"),
-        F.coalesce(F.bool_or("has_reporter"), F.lit(False)).alias("reporter"),
-        F.coalesce(F.bool_or("has_volume"), F.lit(False)).alias("vol"),
+        F.bool_or(F.col("volumes").isNotNull()).alias("reporter"),
+        F.coalesce(F.bool_or(F.array_contains("volumes", F.col("key_volume"))), F.lit(False)).alias("vol"),
         F.bool_or(F.col("cap_different") & F.col("detected").isNotNull() & first & F.col("cap_vol").isNull()).alias("no_diffvol"),
         F.max(F.when(first, F.col("cleaned"))).alias("cite_cleaned"),
         F.max(F.when(first, F.col("normalized"))).alias("cite_normalized"),
@@ -159,7 +174,9 @@ def link(unlinked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternate
     for s, (_, st, ti) in STEPS.items():
         status, tier = F.when(F.col("hit.step") == s, st).otherwise(status), F.when(F.col("hit.step") == s, ti).otherwise(tier)
     linked = out.select(
-        F.col("id").alias("citation_id"),
+        F.col("detected").alias("volume"),
+        "reporter_abbr",
+        "page",
         status.alias("status"),
         tier.alias("match_tier"),
         F.when(F.col("hit.step") <= 4, F.col("hit.ref")).cast("long").alias("cap_case_id"),

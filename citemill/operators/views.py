@@ -202,12 +202,28 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def table_sizes(paths: dict[str, str], spark) -> DataFrame:
+    """(table_name, bytes) of tables by their paths, and of all together as `total`; whatever file system they are in."""
+    conf, sizes = spark.sparkContext._jsc.hadoopConfiguration(), {}
+    for name, path in paths.items():
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        sizes[name] = p.getFileSystem(conf).getContentSummary(p).getLength()
+    return spark.createDataFrame([*sizes.items(), ("total", sum(sizes.values()))], "table_name string, bytes long")
+
+
 def coupled_treatises(links: DataFrame, unlinked: DataFrame, book_info: DataFrame) -> DataFrame:
-    """Pairs of works that cite the same cases: how many."""
+    """Pairs of works that cite the same cases, both ways: how many. Each pair is counted once and then turned."""
     work = book_info.select(F.col("psmid").alias("moml_treatise"), F.col("bibliographicid").alias("work"))
-    cites = joined(links, unlinked).where("status = 'linked_cap'").join(work, "moml_treatise").select("work", "cap_case_id").distinct()
-    other = cites.withColumnRenamed("work", "other")
-    return cites.join(other, "cap_case_id").where("work <> other").groupBy("work", "other").agg(n())
+    cites = joined(links, unlinked).where("status = 'linked_cap'").join(work, "moml_treatise").select("work", "cap_case_id")
+    once = project(cites, "work", "cap_case_id").toDF("work", "other", "n")
+    return once.unionByName(once.select(F.col("other").alias("work"), F.col("work").alias("other"), "n"))
+
+
+def project(pairs: DataFrame, node: str, shared: str) -> DataFrame:
+    """(a, b, n): nodes that share neighbours, each pair once, with how many they share."""
+    one = pairs.where(F.col(node).isNotNull() & F.col(shared).isNotNull()).select(node, shared).distinct()
+    other = one.withColumnRenamed(node, "other")
+    return one.join(other, shared).where(F.col(node) < F.col("other")).groupBy(F.col(node).alias("a"), F.col("other").alias("b")).agg(n())
 
 
 def schools_to_cases(works: DataFrame, vols: DataFrame, links: DataFrame, unlinked: DataFrame) -> DataFrame:
