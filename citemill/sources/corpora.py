@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Codes of citation types.
 CITATION_TYPES = {"1": "federal", "2": "state", "3": "state_regional", "4": "specialty", "5": "scotus_early", "6": "lexis", "7": "west", "8": "neutral", "9": "journal"}
+#: How a record begins, the name of a case's file, and the fields of a case.
 RECORD = r'^"?(\d+)"?,"?\d{4}-\d{2}-\d{2} \d{2}:\d{2}:'
 CASE_FILE = r'law\.free\.cap\.[^",\s]*\.(\d+)\.json'
 CASE_JSON = """id BIGINT, name STRING, name_abbreviation STRING, decision_date STRING, docket_number STRING, first_page STRING, last_page STRING, url STRING, frontend_url STRING,
@@ -92,7 +93,9 @@ def split_cases(cases: DataFrame) -> dict[str, DataFrame]:
 
 def staging_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file, .bz2 included, with all columns as text: unquoted empty fields are null, quoted ones empty."""
-    return spark.read.option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", '"').option("multiLine", False).csv(path)
+    quoted = "\u0001"  # stands for a quoted empty field, which the reader would else make null as well
+    raw = spark.read.option("header", True).option("nullValue", "").option("emptyValue", quoted).option("escape", '"').option("multiLine", False).csv(path)
+    return raw.select(*[F.when(F.col(f"`{c}`") == quoted, "").otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
 def freelaw_citations(staged: DataFrame) -> DataFrame:
@@ -152,10 +155,41 @@ def side_corpus_pages(files: DataFrame) -> DataFrame:
     return files.where(name != "").select(F.regexp_extract("path", r"([^/]+)/([0-9]+)\.txt$", 1).alias("psmid"), F.format_string("%05d", name.cast("long") * 10).alias("pageid"), F.col("text").alias("ocrtext"))
 
 
+#: Columns of the side corpus's list of books, by position.
+BOOKS = ["bibliographicid", "year", "title", "currentvolume", "productlink", "webid", "psmid", "author"]
+
+
+def side_corpus_books(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """A CSV file with a header (and perhaps a byte order mark) -> book_info and legal_treatises_metadata."""
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    if len(raw.columns) < len(BOOKS):
+        raise ValueError(f"{len(raw.columns)} columns, {len(BOOKS)} expected")
+    return books(raw.select(*[F.col(f"`{c}`") for c in raw.columns[: len(BOOKS)]]).toDF(*BOOKS))
+
+
+def books(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of BOOKS, as text. `NULL` or an empty id is null; a year that isn't a number is an error; the first of a psmid stays."""
+    trimmed = {c: F.trim(F.coalesce(c, F.lit(""))) for c in BOOKS if c != "bibliographicid"}
+    one = raw.withColumns(trimmed | {"bibliographicid": F.nullif(F.nullif("bibliographicid", F.lit("")), F.lit("NULL"))})
+    year = F.coalesce(strict_int(F.col("year")), F.raise_error(F.concat(F.lit("no year: "), "year")).cast("int"))
+    one = one.withColumn("year", year).groupBy("psmid").agg(F.min(F.struct("webid", "year", "title", "currentvolume", "productlink", "bibliographicid", "author")).alias("b")).select("psmid", "b.*")
+    info = one.select("psmid", "bibliographicid", "webid", "year", "productlink")
+    return info, one.select("psmid", F.col("author").alias("author_by_line"), "title", F.col("currentvolume").alias("current_volume"))
+
+
 def ocr_rules(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """Rules in the file's order; its first line is a header."""
-    rows = spark.read.option("header", True).csv(path).toDF("mistake", "correction").withColumn("ord", F.monotonically_increasing_id())
-    return [(r.mistake, r.correction or "") for r in rows.orderBy("ord").collect() if r.mistake]
+    return ordered_rules(spark.read.option("header", True).csv(path).toDF("mistake", "correction").withColumn("ord", F.monotonically_increasing_id()))
+
+
+def ordered_rules(rules: DataFrame) -> list[tuple[str, str]]:
+    """Rules of a table (mistake, correction, ord), a hand-made list of some hundred rows, in order."""
+    return [(r.mistake, r.correction or "") for r in rules.orderBy("ord", "mistake").collect() if r.mistake]
+
+
+def scanned_pages(ocr: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pages that can be read, and (psmid, pageid) of those that have no text, to be reported."""
+    return ocr.where("ocrtext IS NOT NULL"), ocr.where("ocrtext IS NULL").select("psmid", "pageid")
 
 
 def unprocessed_pages(ocr: DataFrame, book_info: DataFrame, book_subject: DataFrame, requests: DataFrame, excluded: list[str], batch: int) -> DataFrame:
