@@ -16,13 +16,15 @@ from ..operators import detect as D
 from ..operators import graph as G
 from ..operators import link as L
 from ..operators import views as V
-from .fixtures import SQL, relation, with_sql
+from . import scratch
+from .fixtures import SQL, needs, relation, with_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 #: Single-volume spellings that the detectors look for.
 SINGLE_VOL = ["Kelly", "Geo."]
+#: The detectors' patterns as RE2 has them, for the SQL; those of the library are written for Java's engine.
 _GO_CHAR = r"[\p{L}\s\.,&\(\)]"
 _GO_ED = r"((1st|2nd|3rd|\dth)\sed.)??"
 RE_GENERIC = rf"\d{{1,3}}\s+{_GO_CHAR}{{3,16}}{_GO_ED}\s+\d{{1,4}}"
@@ -55,8 +57,8 @@ DUCK = {
         UNION ALL SELECT 'code', cite, CAST(id AS STRING) FROM {code_cites} UNION ALL SELECT 'er', cite, id FROM {er_cites}""",
     "entries": """SELECT w.*, coalesce(r.jurisdiction LIKE 'uk%', false) AS uk, coalesce(r.single_vol, false) AS single_vol, r.reporter_cap,
         EXISTS (SELECT 1 FROM {reporters_diffvols} d WHERE d.reporter_standard = w.reporter_standard) AS cap_different FROM {whitelist} w LEFT JOIN {reporters} r USING (reporter_standard)""",
-    "some_unlinked": "SELECT * FROM {citations_unlinked} WHERE left(id, 1) <> '0'",
-    "gated": "SELECT c.id, c.volume AS dv, c.page AS pg, e.* FROM {some_unlinked} c LEFT JOIN {entries} e ON e.reporter_found = c.reporter_abbr",
+    "links_so_far": "SELECT * FROM {citation_links} WHERE left(citation_id, 1) <> '0'",
+    "gated": "SELECT c.id, c.volume AS dv, c.page AS pg, e.* FROM {citations_unlinked} c LEFT JOIN {entries} e ON e.reporter_found = c.reporter_abbr",
     "forms": """SELECT *, 0 AS form, dv AS v FROM {gated} WHERE junk = false
         UNION ALL SELECT *, 1, CASE WHEN dv IS NULL THEN 1 END FROM {gated} WHERE junk = false AND single_vol AND (dv IS NULL OR dv = 1)""",
     "cites": """SELECT f.*, d.cap_vol, concat_ws(' ', f.v, f.reporter_standard, f.pg) AS cleaned,
@@ -102,12 +104,18 @@ DUCK = {
     "normalized_counts": "SELECT cite_normalized, count(*) AS cite_count, count(*) FILTER (WHERE status LIKE 'linked_%') AS linked_count, count(DISTINCT (moml_treatise, moml_page)) AS page_count FROM {ij} WHERE cite_normalized IS NOT NULL GROUP BY ALL",
     "treatise_counts": "SELECT moml_treatise, count(*) AS n, count(*) FILTER (WHERE status LIKE 'linked_%') AS linked, count(*) FILTER (WHERE status IS NULL OR status NOT LIKE 'linked_%') AS not_linked FROM {lj} GROUP BY ALL",
     "wc": "SELECT DISTINCT bibliographicid AS work, cap_case_id FROM {ij} JOIN {book_info} ON psmid = moml_treatise WHERE status = 'linked_cap'",
+    "small_graph": "SELECT a.work AS a, b.work AS b, count(*) AS n FROM {wc} a JOIN {wc} b ON a.cap_case_id = b.cap_case_id AND a.work < b.work GROUP BY ALL HAVING count(*) >= 2",
+    "both_ways": "SELECT a, b FROM {small_graph} UNION SELECT b, a FROM {small_graph}",
+    "graph_components": "SELECT node, min(seen) AS component FROM (WITH RECURSIVE r AS (SELECT a AS node, a AS seen FROM {both_ways} UNION SELECT r.node, e.b FROM r JOIN {both_ways} e ON e.a = r.seen) SELECT * FROM r) GROUP BY node",
     "e2": """SELECT e.cites_from AS from_id, f.cites AS from_case_name, f.jurisdiction_name AS from_jurisdiction, f.jurisdiction_id AS from_jurisdiction_id, f.decision_year AS from_year, f.court_name_abbreviation AS from_court, f.court_id AS from_court_id,
         e.cites_to AS to_id, t.cites AS to_case_name, t.jurisdiction_name AS to_jurisdiction, t.jurisdiction_id AS to_jurisdiction_id, t.decision_year AS to_year, t.court_name_abbreviation AS to_court, t.court_id AS to_court_id
         FROM {edges} e LEFT JOIN {metadata} f ON f.id = e.cites_from LEFT JOIN {metadata} t ON t.id = e.cites_to""",
 }
 
 
+_LINKS: dict[tuple[str, str], DataFrame] = {}
+
+
 def _spark_relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A relation, or what the operators make of relations."""
     get = lambda n: _spark_relation(spark, sf_dir, n)
@@ -120,9 +128,15 @@ def _spark_relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return L.whitelist_entries(get("whitelist"), get("reporters"), get("reporters_diffvols"))
     if name == "lookup":
         return L.lookup(get("cap_citations"), get("cite_to_cap"), get("code_reporter"), get("english_reports"))
-    if name == "citation_links":
-        some = get("citations_unlinked").where("left(id, 1) <> '0'")
-        return L.link(some, get("entries"), get("reporters_diffvols"), L.spellings(get("reporters_abbreviations")), get("lookup"))
+    if name == "links_now":
+        return L.link(get("citations_unlinked"), get("entries"), get("reporters_diffvols"), L.spellings(get("reporters_abbreviations")), get("lookup"))
+    if name == "citation_links":  # a table that linking fills and views read
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _LINKS:
+            _LINKS[key] = scratch.stored(get("links_now"))
+        return _LINKS[key]
+    if name == "links_so_far":  # as if linking had stopped half way
+        return get("citation_links").where("left(citation_id, 1) <> '0'")
     if name == "cap_abbrs":
         return V.reporter_abbreviations(get("cap_citations"), get("cap_cases"))
     if name == "abbrs":
@@ -141,6 +155,8 @@ def _spark_relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return V.treatise_citation_counts(get("citation_links"), get("citations_unlinked"))
     if name == "e2":
         return V.edges_with_metadata(get("edges"), get("metadata"))
+    if name in SQL:
+        return spark.sql(SQL[name], **{n: get(n) for n in needs(SQL[name])})
     return relation(spark, sf_dir, name)
 
 
@@ -157,8 +173,8 @@ def query(name: str, needs: str, build: Callable[..., DataFrame], sql: str | Non
 _LU = "citation_links citations_unlinked"
 
 
-def _detect(pages: DataFrame) -> DataFrame:
-    return D.detect(pages.withColumn("p", F.lit("1")), SINGLE_VOL, treatise="id", page_id="p", text="text")
+def _detect(pages: DataFrame, abbrs=SINGLE_VOL, **options) -> DataFrame:
+    return D.detect(pages.withColumn("p", F.lit("1")), abbrs, treatise="id", page_id="p", text="text", **options)
 
 
 # Detection
@@ -172,17 +188,17 @@ query("D9_clean_reporter", "pages", lambda p: p.select("id", T.clean_reporter(F.
 query("D10_clean_cite", "citations_unlinked", lambda c: D.rendered(c).select("id", "cite"), "SELECT id, concat_ws(' ', volume, reporter_abbr, page) AS cite FROM {citations_unlinked}")
 query("D11_detect", "pages", lambda p: _detect(p).drop("id"), "SELECT * FROM {detected}")
 query("D13_interior_digits", "pages", lambda p: p.select("id", T.strip_interior_digits(F.col("text")).alias("text")), r"SELECT id, regexp_replace(regexp_replace(text, '(\p{L})\d(\p{L})', '\1\2', 'g'), '(\p{L})\d(\p{L})', '\1\2', 'g') AS text FROM {pages}")
-query("D14_yield", "pages whitelist", lambda p, w: D.yield_report(_detect(p), D.detect(p.withColumn("p", F.lit("1")).where("false"), treatise="id", page_id="p", text="text"), w, 1000), "SELECT reporter_abbr, CASE WHEN reporter_found IS NULL THEN 'absent' WHEN junk THEN 'junk' ELSE 'linkable' END AS kind, count(*) AS n FROM {detected} LEFT JOIN {whitelist} ON reporter_found = reporter_abbr GROUP BY ALL ORDER BY n DESC, reporter_abbr LIMIT 1000")
-query("D15_whitelist_suggestions", "pages whitelist", lambda p, w: _suggest(_detect(p), w), r"""SELECT d.reporter_abbr, d.stripped, d.n, w.reporter_standard, CASE WHEN w.reporter_found IS NULL THEN 'unresolved' WHEN w.junk THEN 'junk' WHEN w.reporter_found = w.reporter_standard THEN 'canonical' ELSE 'variant' END AS kind
+query("D14_yield", "pages whitelist", lambda p, w: D.yield_report(_detect(p), _detect(p, [], general=[D.GENERIC]), w, 1000), """SELECT reporter_abbr, CASE WHEN reporter_found IS NULL THEN 'absent' WHEN junk THEN 'junk' ELSE 'linkable' END AS kind, count(*) AS n FROM {detected} d LEFT JOIN {whitelist} ON reporter_found = reporter_abbr
+    WHERE NOT EXISTS (SELECT 1 FROM {fields} f WHERE f.d = 0 AND f.id = moml_treatise AND f.volume IS NOT DISTINCT FROM d.volume AND f.reporter_abbr = d.reporter_abbr AND f.page = d.page) GROUP BY ALL ORDER BY n DESC, reporter_abbr LIMIT 1000""")
+query("D15_whitelist_suggestions", "pages whitelist", lambda p, w: D.suggestions(_detect(p), w), r"""SELECT d.reporter_abbr, d.stripped, d.n, w.reporter_standard, CASE WHEN w.reporter_found IS NULL THEN 'unresolved' WHEN w.junk THEN 'junk' WHEN w.reporter_found = w.reporter_standard THEN 'canonical' ELSE 'variant' END AS kind
     FROM (SELECT reporter_abbr, regexp_replace(regexp_replace(reporter_abbr, '(\p{L})\d(\p{L})', '\1\2', 'g'), '(\p{L})\d(\p{L})', '\1\2', 'g') AS stripped, count(*) AS n FROM {detected} GROUP BY ALL) AS d LEFT JOIN {whitelist} w ON w.reporter_found = d.stripped WHERE d.stripped <> d.reporter_abbr""")
 
 
-def _suggest(found: DataFrame, whitelist: DataFrame) -> DataFrame:
-    """Spellings with a digit inside, without it, and what the whitelist has of that."""
-    by = found.groupBy("reporter_abbr").agg(V.n()).withColumn("stripped", T.strip_interior_digits(F.col("reporter_abbr"))).where("stripped <> reporter_abbr")
-    kind = F.when(F.col("reporter_found").isNull(), "unresolved").when(F.col("junk"), "junk").when(F.col("reporter_found") == F.col("reporter_standard"), "canonical").otherwise("variant")
-    return by.join(whitelist, by.stripped == whitelist.reporter_found, "left").select("reporter_abbr", "stripped", "n", "reporter_standard", kind.alias("kind"))
-
+query("D16_ambiguous_spellings", "proposed spelling_counts whitelist", D.ambiguous_spellings, """SELECT DISTINCT p.reporter_abbr, w.reporter_standard AS other, w.reporter_found AS spelling, c.n FROM {proposed} p
+    JOIN {whitelist} w ON NOT w.junk AND w.reporter_standard <> p.reporter_standard AND length(w.reporter_found) = length(p.reporter_abbr) JOIN {spelling_counts} c ON c.reporter_abbr = w.reporter_found LEFT JOIN {spelling_counts} b ON b.reporter_abbr = p.stripped
+    WHERE (SELECT count(*) FROM (SELECT unnest(range(1, length(p.reporter_abbr) + 1)) AS i) AS x WHERE substr(p.reporter_abbr, i, 1) BETWEEN '0' AND '9' AND regexp_matches(substr(w.reporter_found, i, 1), '[A-Za-z]') AND left(p.reporter_abbr, i - 1) || substr(w.reporter_found, i, 1) || substr(p.reporter_abbr, i + 1) = w.reporter_found) > 0
+      AND c.n >= 0.10 * greatest(coalesce(b.n, 1), 1)""")
+query("D17_sampled_pages", "page_ocrtext", lambda o: D.sampled_pages(o, 10).select("psmid", "pageid"), "SELECT psmid, pageid FROM {page_ocrtext} WHERE ('0x' || substr(md5(concat_ws('|', psmid, pageid, '1')), 1, 8))::BIGINT % 1000000 < 100000")
 
 # Linking
 query("L1_whitelist", "entries", lambda e: e, "SELECT reporter_found, reporter_standard, junk, uk, single_vol, cap_different, reporter_cap FROM {entries}")
@@ -191,8 +207,8 @@ query("L3_cap_cites", "cap_citations", lambda c: L.unambiguous(c.select("cite",
 query("L5_spellings", "reporters_abbreviations", lambda a: L.spellings(a).select("reporter_standard", F.array_join("alts", ",").alias("alts")), "SELECT reporter_standard, string_agg(alt_abbr, ',' ORDER BY alt_abbr) AS alts FROM {reporters_abbreviations} GROUP BY 1")
 query("L6_code_cites", "code_reporter", L.code_cites, "SELECT * FROM {code_cites}")
 query("L7_english_cites", "english_reports", L.english_cites, "SELECT * FROM {er_cites}")
-query("L8_unprocessed", "citations_unlinked citation_links", lambda u, k: L.unprocessed(u, k).select("id"), "SELECT id FROM {citations_unlinked} WHERE left(id, 1) = '0'")
-query("L15_link", "citation_links", lambda k: k, "SELECT * FROM {citation_links}")
+query("L8_unprocessed", "citations_unlinked links_so_far", lambda u, k: L.unprocessed(u, k).select("id"), "SELECT id FROM {citations_unlinked} u WHERE NOT EXISTS (SELECT 1 FROM {links_so_far} k WHERE k.citation_id = u.id)")
+query("L15_link", "links_now", lambda k: k, "SELECT * FROM {citation_links}")
 query("L18_split_cite", "lookup", lambda k: k.select("cite", T.cite_volume(F.col("cite")).alias("volume"), T.cite_reporter(F.col("cite")).alias("reporter")), r"""SELECT cite, CASE WHEN h <> '' THEN regexp_extract(h, '^([0-9]+) (.*)$', 1) END AS volume, CASE WHEN h = '' THEN NULL WHEN regexp_matches(h, '^[0-9]+ .*$') THEN regexp_extract(h, '^([0-9]+) (.*)$', 2) ELSE h END AS reporter
     FROM (SELECT cite, regexp_extract(cite, '^(.+) ([0-9]+)$', 1) AS h FROM {lookup}) AS x""")
 
@@ -254,9 +270,9 @@ for _s in ("cites", "year", "title"):
         CAST(coalesce(n, 0) AS BIGINT) AS n, CAST(coalesce(linked, 0) AS BIGINT) AS linked, CAST(coalesce(not_linked, 0) AS BIGINT) AS not_linked FROM {{us_treatises}} t LEFT JOIN (SELECT bibliographicid, sum(n) AS n, sum(linked) AS linked, sum(not_linked) AS not_linked FROM (SELECT bibliographicid, unnest(psmid) AS moml_treatise FROM {{us_treatises}}) AS x JOIN {{treatise_counts}} USING (moml_treatise) GROUP BY 1) AS c USING (bibliographicid)
         WHERE title ILIKE '%treatise%') AS y ORDER BY {"n DESC" if _s == "cites" else _s} NULLS LAST, bibliographicid LIMIT 100""")
 query("B15_treatise_detail", "treatises citations_unlinked citation_links", lambda t, u, k: B.treatise_detail(t, u, k, "B11"), "SELECT *, CASE WHEN n = 0 THEN 0 ELSE (linked * 100 + n // 2) // n END AS linked_pct FROM (SELECT moml_treatise, moml_page, count(*) AS n, count(*) FILTER (status LIKE 'linked_%') AS linked, count(*) - count(*) FILTER (status LIKE 'linked_%') AS not_linked FROM {lj} WHERE moml_treatise IN (SELECT unnest(psmid) FROM {treatises} WHERE bibliographicid = 'B11') GROUP BY ALL) AS x")
-query("B17_treatise_page", "citations_unlinked citation_links page_ocrtext", lambda u, k, o: B.treatise_page(u, k, o, "T11", "00010"), "SELECT id, raw, status, CASE WHEN cap_case_id IS NOT NULL THEN 'cap' WHEN er_case_id IS NOT NULL THEN 'er' WHEN code_reporter_id IS NOT NULL THEN 'code' END AS source, coalesce(cap_case_id::VARCHAR, er_case_id, code_reporter_id::VARCHAR) AS case_id, nullif(instr(coalesce(ocrtext, ''), raw), 0) AS at FROM {lj} JOIN {page_ocrtext} ON psmid = moml_treatise AND pageid = moml_page WHERE psmid = 'T11' AND pageid = '00010'")
+query("B17_treatise_page", "citations_unlinked citation_links page_ocrtext", lambda u, k, o: B.treatise_page(u, k, o, "T11", "00110"), "SELECT id, raw, status, CASE WHEN cap_case_id IS NOT NULL THEN 'cap' WHEN er_case_id IS NOT NULL THEN 'er' WHEN code_reporter_id IS NOT NULL THEN 'code' END AS source, coalesce(cap_case_id::VARCHAR, er_case_id, code_reporter_id::VARCHAR) AS case_id, nullif(instr(coalesce(ocrtext, ''), raw), 0) AS at FROM {lj} JOIN {page_ocrtext} ON psmid = moml_treatise AND pageid = moml_page WHERE psmid = 'T11' AND pageid = '00110'")
 query("B18_highlight", "page_ocrtext", lambda o: o.where("ocrtext IS NOT NULL").select("psmid", "pageid", T.highlighted(F.col("ocrtext"), F.array(F.lit("T1"), F.lit("Text of"))).alias("html")), "SELECT psmid, pageid, replace(replace(replace(replace(replace(ocrtext, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), 'Text of', '<mark>Text of</mark>'), 'T1', '<mark>T1</mark>') AS html FROM {page_ocrtext} WHERE ocrtext IS NOT NULL")
-query("B19_page_text", "page_ocrtext", lambda o: B.page_text(o, "T11", "00010"), "SELECT coalesce(ocrtext, '') AS ocrtext FROM {page_ocrtext} WHERE psmid = 'T11' AND pageid = '00010'")
+query("B19_page_text", "page_ocrtext", lambda o: B.page_text(o, "T11", "00110"), "SELECT coalesce(ocrtext, '') AS ocrtext FROM {page_ocrtext} WHERE psmid = 'T11' AND pageid = '00110'")
 query("B20_top_cases", "case_counts cap_cases english_reports code_reporter", B.top_cases, """SELECT t.*, coalesce(c.name_abbreviation, e.er_name, k.name) AS name, coalesce(c.decision_year, e.er_year, k.decision_year) AS year FROM (SELECT * FROM {case_counts} ORDER BY page_count DESC, source, case_id LIMIT 100) AS t
     LEFT JOIN {cap_cases} c ON source = 'cap' AND c.id::VARCHAR = case_id LEFT JOIN {english_reports} e ON source = 'er' AND e.id = case_id LEFT JOIN {code_reporter} k ON source = 'code' AND k.id::VARCHAR = case_id""")
 query("B21_case_detail", f"{_LU} book_info book_citation page", lambda *a: B.case_detail(*a, status="linked_cap", column="cap_case_id", case_id="20"), """SELECT work, min(displaytitle) AS title, CAST(sum(cites) AS BIGINT) AS total, count(*) AS page_count, string_agg(moml_treatise || '/' || moml_page, ';' ORDER BY moml_treatise, moml_page) AS pages FROM (SELECT moml_treatise, moml_page, coalesce(bibliographicid, moml_treatise) AS work, displaytitle, coalesce(nullif(sourcepage, ''), moml_page) AS sp, count(*) AS cites
@@ -283,6 +299,8 @@ def _years(k: DataFrame, u: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
 
 query("N8_weighted_by_year", f"{_LU} book_info cap_cases", lambda k, u, b, c: G.weighted_by(_years(k, u, b, c).groupBy("case_year", "cap_case_id").agg(V.n("m")), "case_year", "m"), "SELECT c.decision_year AS case_year, count(*) AS n FROM {ij} JOIN {book_info} b ON b.psmid = moml_treatise JOIN {cap_cases} c ON c.id = cap_case_id GROUP BY 1")
 query("N9_age_of_authorities", f"{_LU} book_info cap_cases", lambda k, u, b, c: G.age_of_authorities(_years(k, u, b, c), 10), "SELECT CAST(floor(year / 10) * 10 AS INT) AS decade, count(*) AS n, round(avg(year - decision_year), 1) AS mean_age, quantile_cont(year - decision_year, 0.25) AS q1, quantile_cont(year - decision_year, 0.5) AS median, quantile_cont(year - decision_year, 0.75) AS q3 FROM {ij} JOIN {book_info} b ON b.psmid = moml_treatise JOIN {cap_cases} c ON c.id = cap_case_id WHERE year >= 1800 AND decision_year <= year GROUP BY 1 HAVING count(*) > 10")
+query("N18_shared_cases", f"{_LU} textbooks_vols", lambda k, u, v: G.shared_cases(V.joined(k, u).where("cap_case_id IS NOT NULL").select(F.col("moml_treatise").alias("psmid"), F.col("cap_case_id").alias("case_id")).join(v.select("psmid", "school"), "psmid").select("school", "case_id"), "School 1", "School 2"), """SELECT DISTINCT 'School 1' AS school1, 'School 2' AS school2, a.cap_case_id AS case_id
+    FROM (SELECT cap_case_id FROM {ij} JOIN {textbooks_vols} ON psmid = moml_treatise WHERE school = 'School 1') a JOIN (SELECT cap_case_id FROM {ij} JOIN {textbooks_vols} ON psmid = moml_treatise WHERE school = 'School 2') b USING (cap_case_id)""")
 query("N10_top_subjects", "book_subject", lambda s: G.top_subjects(s, 3, ("US",)), "SELECT *, CAST(rank() OVER (ORDER BY n DESC) AS INT) AS rank FROM (SELECT subject, count(*) AS n FROM {book_subject} WHERE subject <> 'US' GROUP BY 1) AS x QUALIFY rank <= 3")
 query("N10_subject_of_work", "book_subject", lambda s: G.subject_of_work(s, G.top_subjects(s, 15)), "SELECT psmid, arg_min(subject, (r, subject)) AS subject FROM {book_subject} JOIN (SELECT subject, rank() OVER (ORDER BY count(*) DESC) AS r FROM {book_subject} WHERE subject IS NOT NULL GROUP BY 1 QUALIFY r <= 15) AS x USING (subject) GROUP BY 1")
 query("N11_undirected", f"{_LU} book_info", lambda *a: G.undirected(V.coupled_treatises(*a), "work", "other", "n"), "SELECT least(work, other) AS a, greatest(work, other) AS b, max(n) AS n FROM (SELECT a.work, b.work AS other, count(*) AS n FROM {wc} a JOIN {wc} b ON a.cap_case_id = b.cap_case_id AND a.work <> b.work GROUP BY ALL) AS x GROUP BY ALL")
@@ -290,7 +308,7 @@ query("N13_average_gap", "e2", G.average_gap, "SELECT from_year, round(avg(from_
 query("N14_per_decade", "e2", lambda e: e.groupBy(G.decade(F.col("from_year")).alias("decade")).agg(V.n()), "SELECT CAST(floor(from_year / 10) * 10 AS INT) AS decade, count(*) AS n FROM {e2} GROUP BY 1")
 query("N15_school_coupling", "textbooks_vols", lambda v: G.project(v, "school", "workid"), "SELECT a.school AS a, b.school AS b, count(DISTINCT a.workid) AS n FROM {textbooks_vols} a JOIN {textbooks_vols} b ON a.workid = b.workid AND a.school < b.school GROUP BY ALL")
 query("N16_pivot_topics", "textbooks_vols", lambda v: G.pivoted(v, "school", "topic", ["AUTOMOBILE", "BUILDING"]), "SELECT school, count(*) FILTER (topic = 'AUTOMOBILE') AS AUTOMOBILE, count(*) FILTER (topic = 'BUILDING') AS BUILDING FROM {textbooks_vols} GROUP BY 1")
-query("N17_projection", "edges", lambda e: G.project(e.where("cites_to < 50"), "cites_to", "cites_from"), "SELECT a.cites_to AS a, b.cites_to AS b, count(DISTINCT a.cites_from) AS n FROM {edges} a JOIN {edges} b ON a.cites_from = b.cites_from AND a.cites_to < b.cites_to WHERE a.cites_to < 50 AND b.cites_to < 50 GROUP BY ALL")
+query("N17_projection", "edges", lambda e: G.project(e, "cites_to", "cites_from"), "SELECT a.cites_to AS a, b.cites_to AS b, count(*) AS n FROM (SELECT DISTINCT * FROM {edges}) a JOIN (SELECT DISTINCT * FROM {edges}) b ON a.cites_from = b.cites_from AND a.cites_to < b.cites_to GROUP BY ALL")
 query("N20_case_topics", f"{_LU} book_subject", lambda k, u, s: G.case_topics(V.joined(k, u).where("cap_case_id IS NOT NULL").join(s.select(F.col("psmid").alias("moml_treatise"), F.col("subject").alias("topic")), "moml_treatise").select(F.col("cap_case_id").alias("case_id"), "topic")), "SELECT topics, count(*) AS n FROM (SELECT cap_case_id, count(*) AS topics FROM (SELECT DISTINCT cap_case_id, subject FROM {ij} JOIN {book_subject} s ON s.psmid = moml_treatise WHERE cap_case_id IS NOT NULL) AS x GROUP BY 1) AS y GROUP BY 1")
 query("N21_spelling_guesses", "citations_unlinked reporters", lambda u, r: G.spelling_guesses(u, r).select("reporter_abbr", "guess_1"), r"""SELECT reporter_abbr, arg_min(reporter_standard, (-s, reporter_standard)) AS guess_1 FROM (SELECT reporter_abbr, reporter_standard, round(greatest(1 - levenshtein(reporter_abbr, reporter_standard) / greatest(length(reporter_abbr), length(reporter_standard)),
     len(list_intersect(split(reporter_abbr, ''), split(reporter_standard, ''))) / len(list_distinct(list_concat(split(reporter_abbr, ''), split(reporter_standard, ''))))), 6) AS s FROM (SELECT DISTINCT reporter_abbr FROM {citations_unlinked}) AS x, {reporters}) AS y WHERE s >= 0.75 GROUP BY 1""")
@@ -302,8 +320,9 @@ def _small_graph(k: DataFrame, u: DataFrame, b: DataFrame) -> DataFrame:
     return G.undirected(V.coupled_treatises(k, u, b), "work", "other", "n").where("n >= 2")
 
 
-query("N12_components", f"{_LU} book_info", lambda *a: G.components(_small_graph(*a)))
-query("N12_betweenness", f"{_LU} book_info", lambda *a: G.betweenness(_small_graph(*a)))
+query("N12_components", f"{_LU} book_info", lambda *a: G.components(_small_graph(*a)), "SELECT * FROM {graph_components}")
+query("N12_largest", f"{_LU} book_info", lambda *a: G.largest_component(_small_graph(*a)).select("a", "b", "n"), "SELECT g.* FROM {small_graph} g JOIN {graph_components} c ON c.node = g.a WHERE component = (SELECT component FROM {graph_components} GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1)")
+query("N12_betweenness", f"{_LU} book_info", lambda *a: G.betweenness(G.largest_component(_small_graph(*a))))
 query("N19_communities", f"{_LU} book_info", lambda *a: G.communities(_small_graph(*a)))
 
 assert set(SQL).isdisjoint(DUCK)
