@@ -311,10 +311,9 @@ def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", thre
     own = rows.drop("root").join(open_, "label", "left_semi").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("at", "label"))).alias("own"))
     own = own.select("node", F.col("own.label").alias("labels")).join(members.drop("labels"), "node")
     rows = own.select(F.posexplode("labels").alias("at", "label"), "*").select("label", "node", "n", "root", "sig", F.expr("slice(labels, 1, at)").alias("rarer"))
-    left = stored(pairs_in_groups(rows, threshold).join(tested, ["a", "b"], "left_anti"))
-    more = stored(verified(words, left, threshold))
-    whole = components(found.union(more))
-    freed(words, tested, found, crowd, members, left, more, root)
+    left = pairs_in_groups(rows, threshold).join(tested, ["a", "b"], "left_anti")
+    whole = components(found.union(verified(words, left, threshold)))
+    freed(words, tested, found, crowd, members, root)
     return whole
 
 
