@@ -284,7 +284,8 @@ def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", thre
     # Four orders of nodes, by key, so that a class has several hubs.
     each = each.withColumn("o", F.xxhash64("node", F.pmod("key", F.lit(4))))
     member = F.struct("o", "node", "n")
-    hubs = each.groupBy("key").agg(F.min(member).alias("first"), F.max(member).alias("last"), F.count("*").alias("size")).where("size > 1")
+    # Stored, so that the join is one of two plain exchanges, whose crowded keys Spark splits.
+    hubs = stored(each.groupBy("key").agg(F.min(member).alias("first"), F.max(member).alias("last"), F.count("*").alias("size")).where("size > 1"))
     buckets = stored(each.drop("o").join(hubs, "key"))
     words = words_of_nodes(docs, buckets, text_col=text_col)
 
@@ -298,9 +299,9 @@ def connected(docs: DataFrame, nodes: DataFrame, *, text_col: str = "text", thre
     root = components(found)
     # The crowd: members of buckets in which the hubs left several classes (of three members, they met all).
     rooted = buckets.where("size > 3").select("key", "node", "n").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rooted.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key")
+    several = stored(rooted.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key"))
     crowd = stored(rooted.join(several, "key", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("root").alias("root")).join(words, "node"))
-    freed(buckets)
+    freed(buckets, hubs, several)
     if crowd.isEmpty():
         freed(words, tested, found, crowd)
         return root

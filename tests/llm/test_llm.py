@@ -30,6 +30,7 @@ def test_sql(spark, name):
 
 
 def test_odd_rows_and_empty_tables(spark):
+    """All operators that return a row for each document, on the same odd rows; their own tests have the values."""
     b = spark.createDataFrame([("1", "x y"), ("2", None)], "item_id string, text string")
     for docs, n in ((odd(spark), len(ODD)), (spark.createDataFrame([], DOCS), 0)):
         assert pii.with_surrogates(docs, key="k").count() == n
@@ -40,23 +41,10 @@ def test_odd_rows_and_empty_tables(spark):
         assert mixing.mixed(docs).count() == n
         assert line_dedup.dedup_lines(docs).count() == n
         assert license_scan.scan(docs).count() == n
-        assert repeats.remove_repeats(docs).count() == n
         assert near_dedup.classes(docs).count() == n
-    urls = spark.createDataFrame([(1, None), (2, "no scheme"), (3, "http://A.Example.com/en/x?a=1")], "page_id long, url string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(urls).collect()}
-    assert got[1][:3] == ("", "", None) and got[3] == ("a.example.com", "/en/x", "example.com/en/", "block")
-    assert url_filter.judge(urls.limit(0)).count() == 0
-
-
-def test_surrogates(spark):
-    text = "Mary Smith 4111 1111 1111 1111 a.b@c.com a.b@c.com 10.0.0.1 +1 (555) 555-1234"
-    r = pii.with_surrogates(spark.createDataFrame([(1, text)], "doc_id long, text string"), key="k").first()
-    assert r.n_entities == 6 and r.n_collisions == 0
-    by = {e.value: e.surrogate for e in r.entities}
-    assert len(by) == len(set(by.values())) == 5 and not set(by) & set(by.values())
-    assert by["Mary Smith"].split()[0] in pii.NAMES["latin_f"]
-    digits = [int(c) for c in by["4111 1111 1111 1111"] if c.isdigit()][::-1]
-    assert sum(digits[::2]) % 10 is not None and (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+        got = sorted((str(r.doc_id), bytes(r.text), r.n_bytes, r.n_removed, r.n_spans) for r in repeats.remove_repeats(docs).collect())
+        want = [("1", b"", 0, 0, 0), ("2", b"", 0, 0, 0), ("3", b"a b", 3, 0, 0), ("3", b"a b", 3, 0, 0), ("4", b"", 250_000, 250_000, 1), ("None", b"!!", 2, 0, 0)]
+        assert got == (want if n else [])
 
 
 def test_automaton():
