@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from citemill.functions import text as T
-from citemill.operators import detect, graph, link, views
-from citemill.plans import registry
+from citemill.operators import browse, detect, graph, link, views
+from citemill.plans import registry, source_queries  # noqa: F401  the latter adds to the former
 from citemill.sources import corpora, sinks
 from citemill.streaming.incremental import detect_stream
 
@@ -21,6 +21,7 @@ def raws(spark, text, pattern=detect.GENERIC):
 
 
 def test_generic(spark):
+    # Spellings that the detectors have to find as they stand.
     parts = ["(2 Kans. 416).", "71 N. C. 297", "39 N. Y. 436", "6 Ex parte Wray, 30 Missis. 673;", "1 C. R. (N. S.) 413", "6 Rex v. Osborn, 30", "1 Leach, 4th ed. 484"]
     text = " and then some further words of the text ".join(parts)
     assert raws(spark, text) == ["2 Kans. 416", "71 N. C. 297", "39 N. Y. 436", "30 Missis. 673", "1 C. R. (N. S.) 413", "1 Leach, 4th ed. 484"]
@@ -72,6 +73,87 @@ def test_cascade(spark):
     assert cascade(spark, 5, "other", [cap])[:2] == ("skipped_not_whitelisted", None)
 
 
+def test_cascade_order(spark):
+    """Sources are exhausted over all spellings before the next source; all of them on the detected volume before its variant."""
+    one = ("5 U.S. 10", "5 Un. S. 10", "5 U. States 10")
+    alts = ["U. States", "Un. S."]  # in order of their bytes
+    assert cascade(spark, 5, "U.S.", [("freelaw", one[2], "7"), ("cap", one[1], "8")], alts) == ("linked_cap", "cap_alt_spelling", 8, one[1])
+    assert cascade(spark, 5, "U.S.", [("cap", one[1], "8"), ("cap", one[2], "9")], alts) == ("linked_cap", "cap_alt_spelling", 9, one[2])
+    assert cascade(spark, 5, "U.S.", [("cap", one[1], "8"), ("freelaw", one[0], "9")], alts) == ("linked_cap", "cap_freelaw", 9, one[0])
+    assert cascade(spark, 5, "U.S.", [("freelaw", one[1], "8"), ("code", one[0], "9")], alts) == ("linked_cap", "cap_freelaw_alt_spelling", 8, one[1])
+    assert cascade(spark, 5, "U.S.", [("code", one[1], "8"), ("code", one[0], "9")], alts) == ("linked_code_reporter", "code_direct", 9, one[0])
+    assert cascade(spark, None, "U.S.", [("cap", "1 U.S. 10", "7"), ("code", "Un. S. 10", "9")], alts, single=True) == ("linked_code_reporter", "code_alt_spelling", 9, "Un. S. 10")
+    assert cascade(spark, 1, "U.S.", [("cap", "U.S. 10", "7")], single=True) == ("linked_cap", "cap_direct", 7, "U.S. 10")
+    assert cascade(spark, 2, "U.S.", [("cap", "U.S. 10", "7"), ("cap", "1 U.S. 10", "8")], single=True)[:2] == ("no_match", "us_volume_absent")
+    assert cascade(spark, 5, "U.S.", [("code", "7 Cap. 10", "4")], diff=True)[:2] == ("no_match", "us_page_absent")
+    assert cascade(spark, 5, "U.S.", [("cap", one[0], "4")], alts, uk=True)[:2] == ("no_match", "uk_reporter_absent")
+
+
+def test_repeated_citations_share_their_link(spark):
+    u = spark.createDataFrame([("1", 5, "U.S.", 10), ("2", 5, "U.S.", 10), ("3", None, "U.S.", 10), ("4", None, "U.S.", 10), ("5", 5, None, 10)], "id string, volume int, reporter_abbr string, page int")
+    e = spark.createDataFrame([("U.S.", "U.S.", False, False, False, False, None)], "reporter_found string, reporter_standard string, junk boolean, uk boolean, single_vol boolean, cap_different boolean, reporter_cap string")
+    d = spark.createDataFrame([], "reporter_standard string, vol int, cap_vol int, cap_reporter string")
+    a = spark.createDataFrame([], "reporter_standard string, alts array<string>")
+    k = spark.createDataFrame([("cap", "5 U.S. 10", "3")], "source string, cite string, ref string")
+    got = {r.citation_id: (r.status, r.cap_case_id) for r in link.link(u, e, d, a, k).collect()}
+    assert got == {"1": ("linked_cap", 3), "2": ("linked_cap", 3), "3": ("no_match", None), "4": ("no_match", None), "5": ("skipped_not_whitelisted", None)}
+
+
+def test_one_pass_finds_what_each_detector_does(spark):
+    pages = spark.createDataFrame([("t", "1", "see 2 Kans. 416; 102 F1ed. 785, Hob. 423 and 2 Kans. 416"), ("t", "2", None), ("t", "3", "")], "psmid string, pageid string, ocrtext string")
+    found = detect.all_detectors(pages, ["Hob."], [detect.GENERIC, detect.OCR_DIGIT]).collect()
+    each = [detect.windowed(detect.windows(pages), p, k).select("ord", "raw", "detector") for k, p in enumerate((detect.GENERIC, detect.OCR_DIGIT))]
+    want = each[0].unionByName(each[1]).unionByName(detect.single_volume(pages, ["Hob."]).select("ord", "raw", "detector"))
+    assert sorted((r.detector, r.ord, r.raw) for r in found) == sorted((r.detector, r.ord, r.raw) for r in want.collect()) and len(found) >= 4
+    assert detect.detect(pages, ["Hob."]).count() == 5 and detect.detect(pages, [], general=[detect.GENERIC]).count() == 2
+
+
+def test_parts_of_a_table(spark, tmp_path):
+    table = sinks.Table(spark, str(tmp_path / "t"), "a int")
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "a int")
+    assert table.read().count() == 0
+    table.append(rows(1))
+    old = table.read()
+    table.append(old.union(rows(2)))
+    (tmp_path / "t" / "v=1" / "p=2").mkdir()
+    (tmp_path / "t" / "v=1" / "p=2" / "part-0.parquet").write_bytes(b"left behind by a write that failed")
+    assert sorted(r.a for r in table.read().collect()) == [1, 1, 2]
+    table.append(rows(3))
+    table.replace(table.read().where("a > 1"))
+    assert sorted(r.a for r in table.read().collect()) == [2, 3] and sorted(r.a for r in old.collect()) == [1]
+
+
+def test_components_of_a_chain(spark):
+    """A long chain in the order of its names takes no round for each link."""
+    names = [f"n{i:04}" for i in range(400)]
+    edges = spark.createDataFrame([*zip(names, names[1:]), ("x", "y"), ("z", "z")], "a string, b string").where("a <> 'n0200'")
+    got = {r.node: r.component for r in graph.components(edges).collect()}
+    assert got == {n: "n0000" if n <= "n0200" else "n0201" for n in names} | {"x": "x", "y": "x", "z": "z"}
+    assert graph.largest_component(edges).count() == 200
+
+
+def test_spellings_beside_all_pairs(spark):
+    """Blocked matching finds what comparing all pairs does."""
+    abbrs = spark.createDataFrame([(x,) for x in ("", ". .", "Mass", "M", "Masz.", "xyz", "Wend", "w.")], "reporter_abbr string")
+    standards = spark.createDataFrame([(x,) for x in ("Mass.", "Wend.", "Ga.", ".")], "reporter_standard string")
+    both = abbrs.crossJoin(standards)
+    norm = lambda c: T.normalize_reporter(F.col(c))
+    want = {(r.reporter_abbr, r.reporter_standard, r.s) for r in both.withColumn("s", T.match_score(norm("reporter_abbr"), norm("reporter_standard"))).where("s >= 30").collect()}
+    assert {(r.reporter_abbr, r.reporter_standard, r.score) for r in browse.fuzzy_matches(abbrs, standards).collect()} == want and len(want) > 8
+
+
+def test_books_and_sizes(spark, tmp_path):
+    (tmp_path / "b.csv").write_bytes(b'\xef\xbb\xbfid,year,title,vol,link,web,psm,author\nNULL, 1801 ,"A ""B"", c",1,l,w, P1 ,x\n,1802,T,2,l,w,P2,y\n')
+    info, more = corpora.side_corpus_books(spark, str(tmp_path / "b.csv"))
+    assert sorted((r.psmid, r.bibliographicid, r.year) for r in info.collect()) == [("P1", None, 1801), ("P2", None, 1802)]
+    assert {r.psmid: r.title for r in more.collect()} == {"P1": 'A "B", c', "P2": "T"}
+    (tmp_path / "c.csv").write_text("id,year\n1,2\n")
+    with pytest.raises(ValueError):
+        corpora.side_corpus_books(spark, str(tmp_path / "c.csv"))
+    sizes = {r.table_name: r.bytes for r in views.table_sizes({"b": str(tmp_path / "b.csv"), "c": str(tmp_path / "c.csv")}, spark).collect()}
+    assert sizes == {"b": (tmp_path / "b.csv").stat().st_size, "c": 12, "total": (tmp_path / "b.csv").stat().st_size + 12}
+
+
 def test_sources(spark, tmp_path):
     lines = spark.createDataFrame([("a,b,c",), ("d",)], "value string")
     assert sorted(map(tuple, corpora.edge_list(lines).collect())) == [("a", "b"), ("a", "c")]
@@ -109,7 +191,7 @@ def test_graph(spark):
     assert views.refresh_levels({"a": [], "b": ["a"], "c": []}) == [["a", "c"], ["b"]]
 
 
-@pytest.mark.parametrize("name", ["D11_detect", "L15_link", "Q10_us_treatises", "Q18_tier_summary", "B20_top_cases", "N4_shares"])
+@pytest.mark.parametrize("name", ["D11_detect", "D14_yield", "D16_ambiguous_spellings", "L15_link", "Q10_us_treatises", "Q18_tier_summary", "Q24_coupled_treatises", "B8_fuzzy_matches", "B20_top_cases", "N4_shares", "N10_top_subjects", "N12_components", "N17_projection", "S5_staging_csv", "S7_cluster_records", "S8_clusters_to_cap", "S18_stale_code_links", "S26_whitelist"])
 def test_oracle(spark, name):
     con = duckdb.connect()
     for t in ("lineitem", "orders", "customer", "supplier", "part", "nation", "region"):
