@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import cite_reporter, cite_volume, clean_cite
+from ..plans.scratch import stored
 
 #: Step -> (source, status, tier).
 STEPS = {
@@ -95,10 +96,11 @@ def volume_forms(volume: Column, single_vol: Column) -> Column:
 def link(unlinked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternates: DataFrame, known: DataFrame) -> DataFrame:
     """citation_id, status, match_tier, cap_case_id, code_reporter_id, er_case_id, cite_cleaned, cite_normalized, cite_linked.
 
-    Citations of one volume, spelling and page have one fate, which is found once and joined with them.
+    Citations of one volume, spelling and page have one fate, which is found once and joined with them. The lookups by cite are
+    stored first: two joins read them.
     """
     key = ["volume", "reporter_abbr", "page"]
-    of = resolved(unlinked.select(*key).distinct(), entries, diffvols, alternates, known)
+    of = resolved(unlinked.select(*key).distinct(), entries, diffvols, alternates, stored(by_cite(known)))
     own = unlinked.select(F.col("id").alias("citation_id"), *key)
     return own.join(of, reduce(Column.__and__, [own[k].eqNullSafe(of[k]) for k in key])).drop(*key)
 
@@ -108,8 +110,8 @@ def by_cite(known: DataFrame) -> DataFrame:
     return known.groupBy("cite").agg(*[F.min(F.when(F.col("source") == s, F.col("ref"))).alias(s) for s in ("cap", "freelaw", "code", "er")])
 
 
-def resolved(asked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternates: DataFrame, known: DataFrame) -> DataFrame:
-    """asked (volume, reporter_abbr, page), distinct -> the same with the columns of link().
+def resolved(asked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternates: DataFrame, cites: DataFrame) -> DataFrame:
+    """asked (volume, reporter_abbr, page), distinct, and the lookups of by_cite() -> asked with the columns of link().
 
     Each is exploded into one probe for each string that may stand for it; one join with the lookups by cite finds all hits, of
     which the least in (form, step, spelling) wins.
@@ -139,12 +141,13 @@ def resolved(asked: DataFrame, entries: DataFrame, diffvols: DataFrame, alternat
     probes = form.withColumn("p", F.explode(F.when(F.col("uk"), F.array(probe(1, none, F.col("cleaned")))).otherwise(us))).select(
         "detected", "reporter_abbr", "page", "uk", "form", "cap_different", "cap_vol", "cleaned", "normalized", "p.kind", "p.alt", "p.cite"
     )
-    keys = known.select((F.col("source") == "er").alias("uk"), cite_volume(F.col("cite")).alias("key_volume"), cite_reporter(F.col("cite")).alias("key_reporter")).where("key_reporter IS NOT NULL").distinct()
+    routes = F.array_compact(F.array(F.when(F.coalesce("cap", "freelaw", "code").isNotNull(), False), F.when(F.col("er").isNotNull(), True)))
+    keys = cites.select(F.explode(routes).alias("uk"), cite_volume(F.col("cite")).alias("key_volume"), cite_reporter(F.col("cite")).alias("key_reporter")).where("key_reporter IS NOT NULL")
     # One row for each reporter: whether it is known at all, and its volumes.
     volumes = keys.groupBy("uk", "key_reporter").agg(F.collect_set("key_volume").alias("volumes"))
     seen = (
         probes.withColumns({"key_volume": cite_volume(F.col("cite")), "key_reporter": cite_reporter(F.col("cite"))})
-        .join(by_cite(known), "cite", "left")
+        .join(cites, "cite", "left")
         .join(volumes, ["uk", "key_reporter"], "left")
     )
     step = ref = F.lit(None)

@@ -49,7 +49,7 @@ SQL = {
         CAST(p_partkey % 9 AS STRING) AS volume, concat('https://cases.test/', CAST(p_partkey AS STRING)) AS frontend_url FROM {part}""",
     "parts": "SELECT CAST(max(p_partkey) AS BIGINT) AS np FROM {part}",
     "cap_citations": """SELECT DISTINCT concat(CAST(q AS STRING), ' ', CASE r WHEN 0 THEN 'Mass.' WHEN 1 THEN 'Mass' WHEN 2 THEN 'Wen' WHEN 3 THEN '' WHEN 4 THEN 'Ga.' ELSE 'Barb.' END, ' ', CAST(CASE WHEN ok % 3 = 0 THEN pg + 1000 ELSE pg END AS STRING)) AS cite,
-        CASE WHEN ln = 1 THEN 'official' ELSE 'parallel' END AS type, (CAST(q AS BIGINT) * 7 + pg * 53) % np + 1 + CASE WHEN ok % 40 = 1 THEN 1 ELSE 0 END AS case_id FROM {base}, {parts}
+        CASE WHEN ln = 1 THEN 'official' ELSE 'parallel' END AS type, (CAST(q AS BIGINT) * 400 + pg * 10 + r) % np + 1 + CASE WHEN ok % 40 = 1 THEN 1 ELSE 0 END AS case_id FROM {base}, {parts}
         UNION SELECT concat(CAST(q % 3 AS STRING), ' Ga. ', CAST(CASE WHEN ok % 2 = 0 THEN pg ELSE pg + 1000 END AS STRING)), 'official', CAST(pg AS BIGINT) FROM {base}
         UNION SELECT concat('18', CAST(q + 10 AS STRING), '-Ohio-', CAST(pg - 1 AS STRING)), 'vendor', CAST(pg AS BIGINT) FROM {base}
         UNION SELECT concat('1 U.S. 1; ', CAST(q AS STRING), ' Mass. 2'), 'other', CAST(q AS BIGINT) FROM {base}""",
