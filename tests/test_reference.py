@@ -226,7 +226,7 @@ def test_dense_projection_with_an_empty_block(spark):
 
 def test_dense_graph_is_made_once(spark, monkeypatch):
     """Components and the largest of them read a stored graph; neither plan links or couples again."""
-    for name, rows in (("N12_components", 100),):
+    for name, rows in (("N12_components", 100), ("N12_largest", 4950)):
         made = []
         monkeypatch.setattr(views, "coupled_treatises", lambda *_a: (made.append(1), spark.range(100).selectExpr("cast(id AS string) AS work", "explode(sequence(0, 99)) AS o").selectExpr("work", "cast(o AS string) AS other", "3L AS n").where("work <> other"))[1])
         monkeypatch.setattr(registry, "_spark_relation", lambda *_a: None)
