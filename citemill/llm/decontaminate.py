@@ -211,8 +211,10 @@ def hit_spans(
     item_col: str = "item_id",
     item_text_col: str = "text",
     block_words: int = BLOCK_WORDS,
+    cut: int | None = None,
 ) -> DataFrame:
-    """docs with n_words (long), spans (array of [first word, end) structs, merged) and items (sorted array of strings)."""
+    """docs with n_words (long), spans (array of [first word, end) structs, merged) and items (sorted array of strings). cut: the
+    texts without spans of so many words, as by without_spans(), but with one Python worker a task where the items are one block."""
     sc = docs.sparkSession.sparkContext
     pieces, ends = _dealt(benchmark, item_col, item_text_col, window, block_words)
     out = docs.select(*[c for c in docs.columns if c.lower() not in ("n_words", "spans", "items")])
@@ -221,7 +223,7 @@ def hit_spans(
         own = pieces.where((F.col("slot") >= lo) & (F.col("slot") < hi)).orderBy("item", "words").collect()
         held.append((uuid.uuid4().hex, sc.broadcast([(r.item, bytes(r.words).split()) for r in own])))
     if len(held) == 1:
-        return _scanned(out, text_col, *held[0], window)
+        return _scanned(out, text_col, *held[0], window, cut)
     key = fresh("_key", out.columns)
     found = None
     for name, items in held:
@@ -231,7 +233,8 @@ def hit_spans(
     by = by.mapInArrow(_merged_hits, f"{key} string, {_HITS}")
     whole = out.withColumn(key, F.md5(text_col)).join(by, key, "left").withColumn("n_words", F.size(word_array(F.col(text_col))).cast("long"))
     empty = {"spans": "array<struct<lo:int,hi:int>>", "items": "array<string>"}
-    return whole.select(*out.columns, "n_words", *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in empty.items()])
+    whole = whole.select(*out.columns, "n_words", *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in empty.items()])
+    return whole if cut is None else without_spans(whole, text_col=text_col, min_words=cut)
 
 
 def _merged_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,19 +262,24 @@ def _hits(texts: DataFrame, name: str, held, window: int) -> DataFrame:
     return texts.mapInArrow(run, f"key string, {_HITS}")
 
 
-def _scanned(docs: DataFrame, text_col: str, name: str, held, window: int) -> DataFrame:
+def _scanned(docs: DataFrame, text_col: str, name: str, held, window: int, cut: int | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _built(name, lambda: SuffixAutomaton(held.value, window))
         for batch in sliced(batches):
-            n_words, spans, items = [], [], []
+            n_words, spans, items, texts = [], [], [], []
             for text in binaries(batch.column(text_col)):
                 words = words_of(text)
                 hit, found = automaton.scan(words)
                 n_words.append(len(words))
                 spans.append([{"lo": a, "hi": b} for a, b in merged(hit)])
                 items.append(_in_order(found))
+                if cut is not None:
+                    texts.append(_cut(text, spans[-1], cut))
+            own = {c: batch.column(c) for c in batch.schema.names}
+            if cut is not None:
+                own[text_col] = pa.array(texts, pa.binary()).cast(pa.string())
             columns = [pa.array(n_words, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "n_words", "spans", "items"])
+            yield pa.RecordBatch.from_arrays([*own.values(), *columns], [*own, "n_words", "spans", "items"])
 
     return docs.mapInArrow(run, extended(docs.schema, n_words="long", spans="array<struct<lo:int,hi:int>>", items="array<string>"))
 
@@ -287,24 +295,26 @@ def judged(docs: DataFrame, benchmark: DataFrame, *, coverage: int = COVERAGE, *
     )
 
 
+def _cut(text: bytes | None, spans: list[dict] | None, min_words: int) -> bytes | None:
+    spans = [s for s in spans or [] if s["hi"] - s["lo"] >= min_words]
+    if text is None or not spans:
+        return text
+    inside = np.frombuffer(text.translate(WORDS_ONLY), np.uint8) != 32
+    starts = np.flatnonzero(np.diff(np.concatenate([[0], inside]).astype(np.int8)) == 1)
+    edge = np.append(starts, len(text))
+    parts, at = [], 0
+    for s in spans:
+        parts.append(text[at : edge[s["lo"]]])
+        at = int(edge[s["hi"]])
+    return b"".join([*parts, text[at:]])
+
+
 def without_spans(judged_docs: DataFrame, *, text_col: str = "text", min_words: int = WINDOW) -> DataFrame:
     """The texts with every hit span of at least min_words words cut out, up to the word after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            texts = []
-            for text, spans in zip(binaries(batch.column(text_col)), batch.column("spans").to_pylist(), strict=True):
-                spans = [s for s in spans or [] if s["hi"] - s["lo"] >= min_words]
-                if text is not None and spans:
-                    inside = np.frombuffer(text.translate(WORDS_ONLY), np.uint8) != 32
-                    starts = np.flatnonzero(np.diff(np.concatenate([[0], inside]).astype(np.int8)) == 1)
-                    edge = np.append(starts, len(text))
-                    parts, at = [], 0
-                    for s in spans:
-                        parts.append(text[at : edge[s["lo"]]])
-                        at = int(edge[s["hi"]])
-                    text = b"".join([*parts, text[at:]])
-                texts.append(text)
+            texts = [_cut(t, s, min_words) for t, s in zip(binaries(batch.column(text_col)), batch.column("spans").to_pylist(), strict=True)]
             columns = {c: batch.column(c) for c in batch.schema.names} | {text_col: pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
 

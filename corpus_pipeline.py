@@ -43,8 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage beyond the coverage limit, without the passages that reach the length limit;
     n_chars follows the text."""
-    judged = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"))
-    cut = decontaminate.without_spans(judged.where(~F.col("contaminated")))
+    cut = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"), cut=decontaminate.WINDOW).where(~F.col("contaminated"))
     n_chars = F.when(F.col("n_hit") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(*docs.columns)
 

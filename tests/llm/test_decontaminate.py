@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from citemill.llm import decontaminate
 
 
@@ -74,6 +75,25 @@ def test_cut_keeps_what_stands_around(spark):
     assert [r.text for r in got] == ["Say: and «d» stay.", ""]
 
 
+@pytest.mark.parametrize("block_words", [decontaminate.BLOCK_WORDS, 120])
+def test_cut_at_once(spark, cases, block_words):
+    """Judging that cuts gives what cutting after it does."""
+    docs = spark.createDataFrame(list(enumerate(cases[0])), "doc_id long, text string")
+    benchmark = spark.createDataFrame(cases[1], "item_id string, text string")
+    once = decontaminate.judged(docs, benchmark, block_words=block_words, cut=13)
+    after = decontaminate.without_spans(decontaminate.judged(docs, benchmark, block_words=block_words))
+    assert once.columns == after.columns
+    got, want = once.orderBy("doc_id").collect(), after.orderBy("doc_id").collect()
+    assert got == want and any(r.text != t for r, t in zip(got, cases[0], strict=True))
+
+
+def test_pipeline_cuts_with_one_worker_a_task(spark):
+    """A second map in the same tasks leaves each executor with twice as many Python workers, for all later stages."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = corpus_pipeline.drop_contaminated(spark, docs, "/root/testdata/sf0.001")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_empty_tables(spark, cases):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     items = spark.createDataFrame([("1", "a b")], "item_id string, text string")
